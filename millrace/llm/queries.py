@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.bpe import encode_documents
+from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.minhash import near_duplicates
 
 
@@ -17,7 +19,27 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link counts and components of all vectors at cosine 0.98. Not SQL at this size: tested by brute force."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def word_bpe_file() -> str:
+    """The tokenizer file of the registered query; ``encode_documents`` takes any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of all documents as digests. Not SQL: tested against the tokenizers library."""
+    got = encode_documents(table(spark, sf_dir, "documents"), word_bpe_file())
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
 
