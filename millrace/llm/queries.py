@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import chat, lines, mixing
 from millrace.llm.bpe import encode_documents
 from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.minhash import near_duplicates
@@ -37,10 +38,34 @@ def op10_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later occurrences of three-line windows, with line counts."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted and read back."""
+    tricky = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(chat.TRICK).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(rows.unionByName(tricky)))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_chat_formatting": op6_chat_formatting,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": lines.sql(),
+    "op5_source_mixing": mixing.sql(),
+    "op6_chat_formatting": chat.SQL,
+}
