@@ -9,6 +9,7 @@ from millrace.llm import chat, lines, mixing
 from millrace.llm.bpe import encode_documents
 from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.wrappers import extract_main_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages through the wrappers of their hosts. Not SQL: tested on written pages."""
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def word_bpe_file() -> str:
     """The tokenizer file of the registered query; ``encode_documents`` takes any path."""
     import public_tokenizers
@@ -60,6 +66,7 @@ QUERIES = {
     "op5_source_mixing": op5_source_mixing,
     "op6_chat_formatting": op6_chat_formatting,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
