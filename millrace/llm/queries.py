@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import chat, lines, mixing
 from millrace.llm.bpe import encode_documents
+from millrace.llm.fingerprints import compare_versions
 from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.language import identify
 from millrace.llm.minhash import near_duplicates
@@ -32,6 +33,12 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and edited versions, and their likeness. Not SQL: tested by set comparison."""
+    got = compare_versions(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def word_bpe_file() -> str:
     """The tokenizer file of the registered query; ``encode_documents`` takes any path."""
     import public_tokenizers
@@ -74,6 +81,7 @@ QUERIES = {
     "op6_chat_formatting": op6_chat_formatting,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op8_html_extraction": op8_html_extraction,
+    "op9_document_fingerprints": op9_document_fingerprints,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
