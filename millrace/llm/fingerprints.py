@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches, with Spark expressions only.
 
-A paragraph is a run between line ends, cut after sentence ends; its digest is a 64-bit hash. A sketch has three
+A paragraph is a run between line ends, cut further before sentences that start with A to D (about one in five, so
+that a text of one long line has several); its digest is a 64-bit hash. A sketch has three
 rows of cells, and a digest falls in one cell of each; a cell holds the number of digests, their XOR and the XOR of
 their check hashes. Subtracting the sketches of two versions cancels what they share; peeling then takes out digests
 that are alone in a cell, which uncovers others, until the differing digests of both sides are recovered.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import cut
 
-PARAGRAPH = r"\n|(?<=[.!?]) +"
+PARAGRAPH = r"\n|(?<=[.!?]) +(?=[A-D])"
 ROWS, CELLS, ROUNDS = 3, 8, 8
 PER_GROUP = 8
 LADDER = ((8, 8), (32, 10), (128, 12))
