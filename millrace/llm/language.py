@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import cut
@@ -199,18 +199,14 @@ def train(rows: list[tuple[str, bytes, bytes, int]], df: np.ndarray, n_docs: int
     return Model(languages, final * idf[:, None] * SCALE, bias, temperature)
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row of ``docs``.
+def _held_out(id_col: str) -> Column:
+    return F.coalesce(F.crc32(F.col(id_col).cast("long").cast("string")) % 5 == 0, F.lit(True))
 
-    Learns from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``; rows with a null id are
-    held out too. Weights and temperature come from about ``sample_rows`` rows in all, equal parts for each language, picked
-    by a hash of id and text; document frequencies count every training row. A text that is null or has no letter is
-    ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions.
-    """
-    spark = docs.sparkSession
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
+    """The model learned from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
-    training = plain.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    training = plain.filter(~_held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in training.groupBy("lang").count().collect()}
     if sizes:
         quota = max(1, sample_rows // len(sizes))
@@ -220,14 +216,41 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         sampled = [tuple(r) for r in passed.filter("lang IS NOT NULL").select("lang", "features", "counts", "n").toLocalIterator()]
         sums = passed.filter("lang IS NULL").select("features", "n", F.pmod(F.xxhash64("features", "n"), F.lit(64)).alias("salt")).groupBy("salt").applyInArrow(_add, "features binary, n long")
         whole = sums.withColumn("salt", F.lit(0)).groupBy("salt").applyInArrow(_add, "features binary, n long").first()
-        model = train(sampled, np.frombuffer(whole["features"], np.int64), whole["n"])
-    else:
-        model = Model([], np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
-    shared = spark.sparkContext.broadcast(model)
+        return train(sampled, np.frombuffer(whole["features"], np.int64), whole["n"])
+    return Model([], np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every row of ``docs``.
+
+    Learns from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``; rows with a null id are
+    held out too. Weights and temperature come from about ``sample_rows`` rows in all, equal parts for each language, picked
+    by a hash of id and text; document frequencies count every training row. A text that is null or has no letter is
+    ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, sample_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, scores = shared.value.predict(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return plain.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), _held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    return plain.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, text_col: str = "text", least: float = 0.35, **options) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, with its columns.
+
+    Rejected are texts that are null or have no letter, and those that fit no language: with four languages a text
+    that says nothing scores 0.25.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text_col=text_col, **options))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, scores = shared.value.predict(b.column(at).to_pylist())
+            yield b.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
