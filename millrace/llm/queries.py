@@ -11,6 +11,7 @@ from millrace.llm.fingerprints import compare_versions
 from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.language import identify
 from millrace.llm.minhash import near_duplicates
+from millrace.llm.suffixes import remove_repeats
 from millrace.llm.wrappers import extract_main_text
 
 
@@ -28,6 +29,13 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes of 50-byte strings that an earlier one holds. Not SQL at this size: tested by brute force."""
+    got = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return got.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages through the wrappers of their hosts. Not SQL: tested on written pages."""
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
@@ -80,6 +88,7 @@ QUERIES = {
     "op5_source_mixing": op5_source_mixing,
     "op6_chat_formatting": op6_chat_formatting,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_document_fingerprints": op9_document_fingerprints,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
