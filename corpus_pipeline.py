@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encode_documents
 from millrace.llm.language import keep_identified
-from millrace.llm.lines import dedup_lines
+from millrace.llm.lines import drop_repeated_lines
 from millrace.llm.minhash import near_duplicates
 from millrace.llm.mixing import mixed_documents
 from millrace.llm.queries import word_bpe_file
@@ -25,14 +25,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes later occurrences of three-line windows; a document left without lines goes."""
-    thinned = dedup_lines(docs).filter("n_removed = 0 OR n_removed < n_lines")
-    return thinned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return drop_repeated_lines(docs)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near-duplicates, once; rows without an id stay."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps the smallest id of each group of near-duplicates; of rows with equal id and text one. Rows without an id stay."""
+    found = cut(near_duplicates(docs).select("doc_id", "kept"), "kept")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")
+    single = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.join(again.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").select(*docs.columns)
+    return single.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ only with windows that repeat, and a join can split a window that a third of all
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 3
@@ -21,26 +21,42 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null with 0 lines; an empty one has 1 line. Texts of fewer than three lines have no window and stay. A
     text that is removed whole is empty. Rows with equal id and text are one document given twice: each
     gets the same result. Rows that share an id but not the text are ordered by a hash of the text. Null ids
-    come first. Every removed line stands in a kept place earlier.
+    come first. Every removed line stands in a kept place earlier. Columns of ``docs`` named n_lines or n_removed are
+    replaced; other names can't clash.
     """
-    keyed = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))).withColumn("_hash", F.xxhash64(text_col))
-    hashed = keyed.select("_id", "_hash", F.transform(F.split(text_col, "\n", -1), lambda x: F.xxhash64(x)).alias("one"), F.transform(F.split(text_col, "\n", -1), lambda x: F.xxhash64(F.lit(29), x)).alias("two")).filter(F.size("one") >= width)
+    got = _thinned(docs, id_col, text_col, width)
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return got.select(*[_column(c, text_col) for c in own], "n_lines", "n_removed")
+
+
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """The rows and columns of ``docs`` without repeated windows; a text left without lines goes. ``n_chars`` follows the text."""
+    got = _thinned(docs, id_col, text_col, width).filter("n_removed = 0 OR n_removed < n_lines")
+    return got.select(*[F.length("thinned").cast("long").alias(c) if c == "n_chars" else _column(c, text_col) for c in docs.columns])
+
+
+def _column(name: str, text_col: str) -> Column:
+    return F.col("thinned").alias(name) if name == text_col else F.col("row").getField(name).alias(name)
+
+
+def _thinned(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """row (the input's columns), thinned, n_lines, n_removed."""
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    lines = F.split("text", "\n", -1)
+    hashed = keyed.select("id", "hash", F.transform(lines, lambda x: F.xxhash64(x)).alias("one"), F.transform(lines, lambda x: F.xxhash64(F.lit(29), x)).alias("two")).filter(F.size("one") >= width)
     starts = F.sequence(F.lit(0), F.size("one") - width)
     at = [F.col("at") + k for k in range(width)]
-    windows = hashed.select("_id", "_hash", "one", "two", F.explode(starts).alias("at")).select("_id", "_hash", "at", F.xxhash64(*[F.get("one", a) for a in at]).alias("h1"), F.xxhash64(*[F.get("two", a) for a in at]).alias("h2"))
-    place = F.struct("_id", "_hash", "at")
+    windows = hashed.select("id", "hash", "one", "two", F.explode(starts).alias("at")).select("id", "hash", "at", F.xxhash64(*[F.get("one", a) for a in at]).alias("h1"), F.xxhash64(*[F.get("two", a) for a in at]).alias("h2"))
+    place = F.struct("id", "hash", "at")
     repeated = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").drop("last")
     later = windows.join(repeated, ["h1", "h2"]).filter(place > F.col("first"))
-    covered = later.select("_id", "_hash", F.explode(F.sequence(F.col("at"), F.col("at") + (width - 1))).alias("line")).groupBy("_id", "_hash").agg(F.collect_set("line").alias("_covered"))
-    joined = keyed.join(covered, ["_id", "_hash"], "left")
-    count = F.coalesce(F.size(F.split(text_col, "\n", -1)), F.lit(0))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(count)
-    left = F.array_except(F.sequence(F.lit(0), count - 1), F.col("_covered"))
-    thinned = joined.withColumn("n_lines", n_lines.cast("long")).withColumn("n_removed", F.coalesce(F.size("_covered"), F.lit(0)).cast("long"))
-    thinned = thinned.withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("long")))
-    lines = F.split(text_col, "\n", -1)
-    text = F.when(F.col("_covered").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return thinned.withColumn(text_col, text).select(*docs.columns, "n_lines", "n_removed")
+    covered = later.select("id", "hash", F.explode(F.sequence(F.col("at"), F.col("at") + (width - 1))).alias("line")).groupBy("id", "hash").agg(F.collect_set("line").alias("covered"))
+    joined = keyed.join(covered, ["id", "hash"], "left")
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("covered"))
+    thinned = F.when(F.col("covered").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    removed = F.when(F.col("covered").isNull(), 0).otherwise(F.size("covered"))
+    return joined.select("row", thinned.alias("thinned"), count.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
 
 
 def sql(documents: str = "documents") -> str:

@@ -83,21 +83,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return dealt.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "text_hash")
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of the mix, with the columns of ``docs``: whole copies, and for the document where a shard's
-    quota ends its first words with their white space. Documents of which nothing is taken are left out; a
-    document without words stays once. ``n_chars`` follows the text."""
-    counts = mix_sources(docs, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), "taken", F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("taken")).alias("_nth"))
-    numbered = docs.withColumn("_h", F.xxhash64("text")).withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "_h").orderBy("source")))
-    both = numbered.join(counts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")) & (F.col("_n") == F.col("_nth")))
-    copies = F.when(F.col("_size") == 0, F.array(F.lit(0))).otherwise(F.expr("filter(array(least(taken, _size), greatest(taken - _size, 0L)), x -> x > 0)"))
-    spread = both.withColumn("_words", F.explode(copies))
-    pieces = F.slice(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, (F.col("_words") + F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)).cast("int"))
-    part = F.when((F.col("_words") == F.col("_size")) | (F.col("_size") == 0), F.col("text")).otherwise(F.array_join(pieces, ""))
-    out = spread.withColumn("text", part)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    quota ends its first words with their white space. Documents of which nothing is taken are left out; one without words
+    stays once. ``n_chars`` follows the text. Column names can't clash."""
+    counts = mix_sources(docs, id_col, text_col, source_col, **options)
+    counts = counts.select(F.col("doc_id").alias("id"), "text_hash", "size", "taken", F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("taken")).alias("nth"))
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_hash"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    numbered = keyed.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_id", "own_hash").orderBy("source")))
+    both = numbered.join(counts, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")) & (F.col("own_nth") == F.col("nth")))
+    copies = F.expr("if(size = 0, array(0L), filter(array(least(taken, size), greatest(taken - size, 0L)), x -> x > 0))")
+    spread = both.select("row", "text", "size", F.explode(copies).alias("words"))
+    leading = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
+    pieces = F.slice(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, (F.col("words") + leading).cast("int"))
+    part = spread.select("row", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(F.array_join(pieces, "")).alias("part"))
+    named = {text_col: F.col("part"), "n_chars": F.length("part").cast("long")}
+    return part.select(*[named.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def sql(documents: str = "documents") -> str:
