@@ -111,14 +111,15 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     document. Returns doc_id, text, edited, fingerprint, edited_fingerprint, near_edited, near_next. A null text
     is empty and has no paragraphs. Rows with equal id and text are one document and get equal results; rows
     that share an id are ordered by a hash of the text, and null ids come first. A table of one document is its
-    own next. Other columns aren't read.
+    own next. Other columns aren't read. The id -2**63 stands for null.
     """
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(text_col).alias("hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     links = cut(following(docs, id_col, text_col), "following")
     sized = links.join(plain.select("id", "hash", F.length("text").alias("n")).distinct(), ["id", "hash"])
     wanted = sized.select(F.col("next_id").alias("id"), F.col("next_hash").alias("hash"), F.col("id").alias("for_id"), F.col("hash").alias("for_hash"), F.floor(F.col("n") / 2).cast("int").alias("half"))
-    given = plain.dropDuplicates(["id", "hash"]).join(wanted, ["id", "hash"]).select(F.col("for_id").alias("id"), F.col("for_hash").alias("hash"), F.expr("left(text, half)").alias("start"), digests(F.col("text")).alias("c"))
-    both = plain.join(given, ["id", "hash"])
+    # both joins read texts through one exchange, so they are moved once; a row that repeats gives its start twice, and once is kept
+    given = plain.join(wanted, ["id", "hash"]).select(F.col("for_id").alias("id"), F.col("for_hash").alias("hash"), F.expr("left(text, half)").alias("start"), digests(F.col("text")).alias("c")).dropDuplicates(["id", "hash"])
+    both = plain.join(given, ["id", "hash"]).withColumn("doc_id", F.when(F.col("id") != FIRST, F.col("id")))
     both = both.withColumn("edited", F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), F.col("start"))).drop("start")
     keyed = both.select("doc_id", "text", "edited", digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), "c")
     tabled = keyed.selectExpr("doc_id", "text", "edited", "a", "b", "c", f"{_cells('a', CELLS)} as ta", f"{_cells('b', CELLS)} as tb", f"{_cells('c', CELLS)} as tc")
