@@ -1,9 +1,9 @@
 """Near-duplicate documents by HyperMinHash.
 
-1. Sketch: every distinct 5-word shingle hash falls in one of 128 buckets; a bucket stores the leading
+1. Sketch: every distinct 5-word shingle hash falls in one of 256 buckets; a bucket stores the leading
    zeros of its smallest hash and the ten bits after them (a compressed register).
 2. Documents with equal shingle sets form a class; the smallest id stands for it.
-3. Bands of four registers are the keys of the candidate search. In every bucket of equal bands each
+3. Bands of five registers are the keys of the candidate search. In every bucket of equal bands each
    member meets the bucket's smallest id (a star: as many pairs as members).
 4. Pairs pass a collision-corrected Jaccard estimate from the registers with five standard deviations
    to spare, then the exact test on full shingle sets. Components follow.
@@ -11,8 +11,8 @@
    bounded size, pairs of one component left out; survivors pass the same two tests. So every pair of
    a bucket is linked, or tested, or already connected, whatever the size of the bucket.
 
-A pair at similarity 0.75 misses all 32 bands with probability 5e-6 (sets of 128 shingles or more;
-smaller sets leave buckets empty, so their bands are easier to share).
+A pair at similarity 0.75 misses all 51 bands with probability 1e-6 (sets of several hundred shingles; smaller
+sets leave buckets empty, so their bands are easier to share).
 """
 
 from __future__ import annotations
@@ -29,30 +29,31 @@ from millrace.llm.components import components
 from millrace.llm.shared import cut
 from millrace.llm.words import U, mix, shingle_sets
 
-BUCKETS, MANTISSA, ROWS = 128, 10, 4
+BUCKETS, MANTISSA, ROWS = 256, 10, 5
+BANDS = BUCKETS // ROWS
 EMPTY = 0xFFFF
 BLOCK = 512
 _SALT = np.arange(1, BUCKETS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
 
 
 def registers(own: np.ndarray) -> np.ndarray:
-    """128 registers of a sorted set of hashes: leading zeros << 10 | mantissa, or 0xFFFF if empty."""
+    """256 registers of a sorted set of hashes: leading zeros << 10 | mantissa, or 0xFFFF if empty."""
     out = np.full(BUCKETS, EMPTY, np.uint16)
     if len(own):
-        bucket = (own >> U(57)).astype(np.int64)
+        bucket = (own >> U(56)).astype(np.int64)
         first = np.concatenate(([True], bucket[1:] != bucket[:-1]))
-        rest = (own[first] << U(7)) | U(64)
+        rest = (own[first] << U(8)) | U(128)
         zeros = 63 - np.floor(np.log2((rest >> U(11)).astype(np.float64))).astype(np.int64) - 11
         mantissa = ((rest << (zeros + 1).astype(U)) >> U(64 - MANTISSA)).astype(np.int64)
         out[bucket[first]] = (zeros << MANTISSA) | mantissa
     return out
 
 
-def bands(regs: np.ndarray) -> list[int | None]:
-    """A signed 64-bit key for every four registers; None where all four are empty."""
-    keys = mix((mix(regs.astype(U) + _SALT)).reshape(-1, ROWS).sum(axis=1, dtype=U)).view(np.int64).tolist()
-    full = (regs.reshape(-1, ROWS) != EMPTY).any(axis=1).tolist()
-    return [k if f else None for k, f in zip(keys, full, strict=True)]
+def bands(regs: np.ndarray) -> list[int]:
+    """A signed 64-bit key for every band with a register that isn't empty; the key tells bands apart."""
+    used = regs[: BANDS * ROWS]
+    keys = mix(mix(used.astype(U) + _SALT[: BANDS * ROWS]).reshape(BANDS, ROWS).sum(axis=1, dtype=U)).view(np.int64)
+    return keys[(used.reshape(BANDS, ROWS) != EMPTY).any(axis=1)].tolist()
 
 
 def estimate(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,10 +70,16 @@ def estimate(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> tu
 
 
 def plausible(x, nx, y, ny, threshold: float) -> np.ndarray:
-    """Whether a pair may reach ``threshold``: sizes allow it, and the estimate lies within reach."""
+    """Whether a pair may reach ``threshold``: sizes allow it, and the estimate lies within reach.
+
+    The buckets show ``used`` of the union's elements, drawn without replacement, so a sketch that shows nearly
+    all of a small union leaves little room.
+    """
     j, used = estimate(x, nx, y, ny)
+    union = (nx + ny) / (1 + threshold)
+    unseen = np.clip((union - used) / np.maximum(union - 1, 1), 0, 1)
     sizes = np.minimum(nx, ny) >= threshold * np.maximum(nx, ny) - 1e-9
-    return sizes & (j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1)) - 1.5 / np.maximum(used, 1))
+    return sizes & (j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) * unseen / np.maximum(used, 1)) - 1.5 / np.maximum(used, 1))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +159,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = named.select("doc_id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = cut(named.join(classes.withColumnRenamed("rep", "doc_id"), ["n", "s1", "s2", "doc_id"], "left_semi").dropDuplicates(["n", "s1", "s2", "doc_id"]).select("doc_id", "n", "s1", "s2", "regs", "bands"), "reps")
 
-    spread = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).filter("key IS NOT NULL")
-    shared = spread.groupBy("band", "key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last")
-    buckets = cut(spread.join(shared.drop("last"), ["band", "key"]), "buckets")
+    spread = reps.select("doc_id", F.explode("bands").alias("key"))
+    shared = spread.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last")
+    buckets = cut(spread.join(shared.drop("last"), "key"), "buckets")
     star = buckets.filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
 
     sides = reps.select("doc_id", "n", "s1", "s2", "regs")
@@ -174,13 +181,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = components(links)
 
     placed = cut(buckets.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).filter("lo < hi").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    open_ = placed.join(mixed.select("band", "key", "blocks"), ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).filter("lo < hi").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    open_ = placed.join(mixed.select("key", "blocks"), "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     #: Block pairs (i, j), i <= j: a member of block k is on the left of (k, j > k), on the right of (i < k, k), on both sides of (k, k).
-    dealt = open_.select("band", "key", "doc_id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "doc_id", "component")
+    dealt = open_.select("key", "doc_id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "doc_id", "component")
     carried = dealt.join(sides.select("doc_id", "n", "regs"), "doc_id")
-    crossed = cut(carried.groupBy("band", "key", "i", "j").applyInArrow(_crossed(threshold), "a long, b long").distinct(), "crossed")
+    crossed = cut(carried.groupBy("key", "i", "j").applyInArrow(_crossed(threshold), "a long, b long").distinct(), "crossed")
     known = hopeful.select("a", "b")
     more = tested(crossed.join(known, ["a", "b"], "left_anti"))
     final = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -190,6 +197,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def expected_miss(j: float, bands_: int = BUCKETS // ROWS) -> float:
+def expected_miss(j: float, bands_: int = BANDS) -> float:
     """Probability that a pair of similarity ``j`` shares no band."""
     return math.pow(1 - j**ROWS, bands_)
