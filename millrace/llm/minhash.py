@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, uncut
 from millrace.llm.words import U, mix, shingle_sets
 
 BUCKETS, MANTISSA, ROWS = 256, 10, 5
@@ -49,11 +49,14 @@ def registers(own: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(regs: np.ndarray) -> list[int]:
-    """A signed 64-bit key for every band with a register that isn't empty; the key tells bands apart."""
-    used = regs[: BANDS * ROWS]
-    keys = mix(mix(used.astype(U) + _SALT[: BANDS * ROWS]).reshape(BANDS, ROWS).sum(axis=1, dtype=U)).view(np.int64)
-    return keys[(used.reshape(BANDS, ROWS) != EMPTY).any(axis=1)].tolist()
+def bands(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of registers: signed 64-bit keys of their bands, and which bands have a register that isn't empty.
+
+    A key tells bands apart, so equal keys are equal bands.
+    """
+    used = np.atleast_2d(regs)[:, : BANDS * ROWS]
+    keys = mix(mix(used.astype(U) + _SALT[: BANDS * ROWS]).reshape(-1, BANDS, ROWS).sum(axis=2, dtype=U)).view(np.int64)
+    return keys, (used.reshape(-1, BANDS, ROWS) != EMPTY).any(axis=2)
 
 
 def estimate(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,15 +87,22 @@ def plausible(x, nx, y, ny, threshold: float) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, one, two, regs, keys = [], [], [], [], []
+        n, one, two, regs = [], [], [], []
         for own in shingle_sets(b.column(1).to_pylist()):
-            r = registers(own)
             n.append(len(own))
             one.append(int(np.bitwise_xor.reduce(mix(own ^ U(0x5851F42D4C957F2D))).view(np.int64)) if len(own) else 0)
             two.append(int(mix(own + U(0x14057B7EF767814F)).sum(dtype=U).view(np.int64)) if len(own) else 0)
-            regs.append(r.tobytes())
-            keys.append(bands(r))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "regs", "bands"])
+            regs.append(registers(own).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "n", "s1", "s2", "regs"])
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 1000):
+            part = b.slice(lo, 1000)
+            keys, full = bands(_rows(part.column(1)))
+            ids = np.repeat(part.column(0).to_numpy(), full.sum(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys[full])], names=["doc_id", "key"])
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -123,18 +133,22 @@ def _verified(num: int, den: int):
 
 
 def _crossed(threshold: float):
-    """Candidates between components within a pair of blocks of one bucket."""
+    """Candidates between components within a pair of blocks of one bucket; of the buckets that a pair shares, one gives it."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, comp, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "n"))
         side = table.column("side").to_numpy()
         regs = _rows(table.column("regs").combine_chunks() if table.column("regs").num_chunks != 1 else table.column("regs").chunk(0))
+        keys, full = bands(regs)
+        here = table.column("key")[0].as_py()
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         a, b = [], []
         for i in left.tolist():
             with_ = right[(comp[right] != comp[i]) & ((side[right] == 1) | (ids[right] > ids[i]))]
             if len(with_):
                 got = with_[plausible(regs[i], n[i], regs[with_], n[with_], threshold)]
+                first = ((keys[got] == keys[i]) & full[got] & full[i]).argmax(axis=1)
+                got = got[keys[i][first] == here]
                 a += np.minimum(ids[got], ids[i]).tolist()
                 b += np.maximum(ids[got], ids[i]).tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -152,14 +166,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     threshold = percent / 100
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketch = cut(plain.mapInArrow(_sketch, "doc_id long, n long, s1 long, s2 long, regs binary, bands array<long>"), "sketch")
+    sketch = cut(plain.mapInArrow(_sketch, "doc_id long, n long, s1 long, s2 long, regs binary"), "sketch")
 
     named = sketch.filter("doc_id IS NOT NULL AND n > 0")
     classes = named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
     member = named.select("doc_id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = cut(named.join(classes.withColumnRenamed("rep", "doc_id"), ["n", "s1", "s2", "doc_id"], "left_semi").dropDuplicates(["n", "s1", "s2", "doc_id"]).select("doc_id", "n", "s1", "s2", "regs", "bands"), "reps")
+    reps = cut(named.join(classes.withColumnRenamed("rep", "doc_id"), ["n", "s1", "s2", "doc_id"], "left_semi").dropDuplicates(["n", "s1", "s2", "doc_id"]).select("doc_id", "n", "s1", "s2", "regs"), "reps")
 
-    spread = reps.select("doc_id", F.explode("bands").alias("key"))
+    spread = reps.select("doc_id", "regs").mapInArrow(_banded, "doc_id long, key long")
     shared = spread.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last")
     buckets = cut(spread.join(shared.drop("last"), "key"), "buckets")
     star = buckets.filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
@@ -194,7 +208,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     out = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    result = cut(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near")
+    for done in (sketch, reps, buckets, hopeful, links, placed, crossed):
+        uncut(done)
+    return result
 
 
 def expected_miss(j: float, bands_: int = BANDS) -> float:
