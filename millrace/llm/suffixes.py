@@ -31,10 +31,10 @@ from millrace.llm.words import _BYTE, U, mix, powers
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM + 1
 SHALLOW = 24
-SEGMENT = 4 << 20
+SEGMENT = 1 << 19
 PLACE = 24
 FIRST = -(2**63)
-FLUSH_ROWS, FLUSH_BYTES = 400_000, 16 << 20
+FLUSH_ROWS, FLUSH_BYTES = 200_000, 2 << 20
 
 
 def stretches(raw: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
