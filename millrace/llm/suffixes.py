@@ -18,6 +18,7 @@ order, whatever their number.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, uncut
 from millrace.llm.words import _BYTE, U, mix, powers
 
 LENGTH, GRAM = 50, 16
@@ -169,7 +170,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, ref, text, shared anchors): a row for each different stretch (kind 0, with its bytes), and one for each occurrence (kind 1)."""
+    """Of (id, ref, text, shared anchors): a row for each occurrence; the first of each stretch has its bytes (kind 0)."""
     for b in batches:
         ids, refs = b.column(0).to_numpy(), b.column(1).to_numpy()
         lists = [np.unique(np.frombuffer(b"".join(x), np.int64)) for x in b.column(3).to_pylist()]
@@ -188,17 +189,12 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((own, key, h))
             head = order[np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (key[order][1:] != key[order][:-1])))]
             bodies = [joined[p : p + k + LENGTH - 1] for p, k in zip(place[head].tolist(), n[head].tolist(), strict=True)]
-            zeros, ones = np.zeros(len(head), np.int32), np.ones(len(h), np.int32)
+            later = np.ones(len(h), bool)
+            later[head] = False
+            rows = np.concatenate((head, np.flatnonzero(later)))
+            kind = (np.arange(len(rows)) >= len(head)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((h[head], h))),
-                    pa.array(np.concatenate((zeros, ones))),
-                    pa.array(np.concatenate((key[head], key))),
-                    pa.array(np.concatenate((own[head], own))),
-                    pa.array(np.concatenate((zeros, refs[number]))),
-                    pa.array(np.concatenate((zeros, at)).astype(np.int64)),
-                    pa.array(bodies + [None] * len(h), pa.binary()),
-                ],
+                [pa.array(h[rows]), pa.array(kind), pa.array(key[rows]), pa.array(own[rows]), pa.array(refs[number][rows]), pa.array(at[rows].astype(np.int64)), pa.array(bodies + [None] * (len(rows) - len(head)), pa.binary())],
                 names=["h", "kind", "key", "id", "ref", "at", "body"],
             )
 
@@ -343,9 +339,7 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = hh == h[-1]
         spot = np.flatnonzero(own)
         carried = (h[-1], hk[own], hid[own], least[offsets[spot[0]] : offsets[spot[-1] + 1]], offsets[spot[0] : spot[-1] + 2] - offsets[spot[0]]) if len(spot) else None
-        there = np.flatnonzero(kind == 1)
-        if not len(there):
-            return None
+        there = np.arange(len(h))
         name = mix(mix(hh.view(U)) ^ hk.view(U))
         rank = np.argsort(name)
         head = rank[np.searchsorted(name[rank], mix(mix(h[there].view(U)) ^ key[there].view(U)))]
@@ -402,11 +396,23 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(left, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _freed(df: DataFrame, name: str) -> DataFrame:
-    """``cut``, then let Spark drop the shuffle files that led there."""
-    out = cut(df, name)
+def _lists(plain: DataFrame) -> DataFrame:
+    """(id, packed): the anchors of each document that others share."""
+    anchors = plain.filter(F.length("text") > 0).select("id", "text").mapInArrow(_anchored, "route long, h long, lo long, hi long")
+    return cut(anchors.repartition("route").sortWithinPartitions("h").select("h", "lo", "hi").mapInArrow(_shared, "id long, packed binary"), "anchors")
+
+
+def _intervals(plain: DataFrame, lists: DataFrame) -> DataFrame:
+    """(id, ref, packed): covered intervals."""
+    held = plain.join(lists.groupBy("id").agg(F.collect_list("packed").alias("lists")), "id")
+    spread = held.select("id", "ref", "text", "lists").mapInArrow(_spread, "h long, kind int, key long, id long, ref long, at long, body binary")
+    return cut(spread.repartition("h").sortWithinPartitions("h", "kind", "key", "id").mapInArrow(_covered, "id long, ref long, packed binary"), "covered")
+
+
+def _let_go(df: DataFrame) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
-    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -417,10 +423,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     is kept is bytes, as a cut may fall within a character. An empty table gives an empty result.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(id_col, text_col).alias("ref"), F.col(text_col).cast("string").alias("text"))
-    anchors = plain.filter(F.length("text") > 0).select("id", "text").mapInArrow(_anchored, "route long, h long, lo long, hi long")
-    known = anchors.repartition("route").sortWithinPartitions("h").select("h", "lo", "hi").mapInArrow(_shared, "id long, packed binary")
-    lists = _freed(known, "anchors").groupBy("id").agg(F.collect_list("packed").alias("lists"))
-    spread = plain.join(lists, "id").select("id", "ref", "text", "lists").mapInArrow(_spread, "h long, kind int, key long, id long, ref long, at long, body binary")
-    covered = _freed(spread.repartition("h").sortWithinPartitions("h", "kind", "key", "id").mapInArrow(_covered, "id long, ref long, packed binary"), "covered")
+    lists = _lists(plain)
+    _let_go(plain)
+    covered = _intervals(plain, lists)
+    _let_go(plain)
+    uncut(lists)
     intervals = covered.groupBy("id", "ref").agg(F.collect_list("packed").alias("packed"))
     return plain.join(intervals, ["id", "ref"], "left").select("doc_id", "text", "packed").mapInArrow(_cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
