@@ -244,6 +244,7 @@ def shard_number(spark, sf_dir):
 
 
 def _log(spark, sf_dir):
+    """Messages up to ``NOW``, as in ``_LOG``: the queue as it stood then. That is a prefix of ``events``, which go on to 2024-01-30."""
     message = F.when(F.col("event_type").isin("view", "signup"), "lease").when(F.col("event_type").isin("click", "purchase"), "done").otherwise("failed")
     return _table(spark, sf_dir, "events").filter(F.col("ts") <= F.lit(NOW).cast("timestamp")).select(F.col("user_id").alias("item"), "ts", F.col("event_id").alias("seq"), message.alias("message"))
 
