@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches, with Spark expressions only.
 
-A paragraph is a run between line ends, cut further before sentences that start with A to D (about one in five, so
-that a text of one long line has several); its digest is a 64-bit hash. A sketch has three
+A paragraph is a run between the ends that a pattern gives: line ends and all sentence ends (``SENTENCES``, of the registered
+query), or line ends and those before sentences that start with A to D (``PARAGRAPH``, the default of the functions; it leaves a
+line without such a sentence whole). Its digest is a 64-bit hash. A sketch has three
 rows of cells, and a digest falls in one cell of each; a cell holds the number of digests, their XOR and the XOR of
 their check hashes. Subtracting the sketches of two versions cancels what they share; peeling then takes out digests
 that are alone in a cell, which uncovers others, until the differing digests of both sides are recovered.
@@ -21,16 +22,17 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import cut
 
-PARAGRAPH = r"\n|(?<=[.!?]) +(?=[A-D])"
+SENTENCES = r"\n|(?<=[.!?]) +"
+PARAGRAPH = SENTENCES + "(?=[A-D])"
 ROWS, CELLS, ROUNDS = 3, 8, 8
 PER_GROUP = 8
 LADDER = ((8, 8), (32, 10), (128, 12))
 FIRST = -(2**63)
 
 
-def digests(text: Column) -> Column:
+def digests(text: Column, paragraph: str = PARAGRAPH) -> Column:
     """Distinct digests of the paragraphs of a text that aren't blank; none for null."""
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPH, -1), lambda p: F.trim(p) != "")
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), paragraph, -1), lambda p: F.trim(p) != "")
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -104,7 +106,7 @@ def following(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return ranged.join(after, "range").select("id", "hash", nxt["id"].alias("next_id"), nxt["hash"].alias("next_hash"))
 
 
-def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", paragraph: str = PARAGRAPH) -> DataFrame:
     """For every row of ``docs`` its fingerprint and those of its edited version and of the next document.
 
     The edited version has the last half of the code points replaced by as many from the start of the next
@@ -118,10 +120,10 @@ def compare_versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sized = links.join(plain.select("id", "hash", F.length("text").alias("n")).distinct(), ["id", "hash"])
     wanted = sized.select(F.col("next_id").alias("id"), F.col("next_hash").alias("hash"), F.col("id").alias("for_id"), F.col("hash").alias("for_hash"), F.floor(F.col("n") / 2).cast("int").alias("half"))
     # both joins read texts through one exchange, so they are moved once; a row that repeats gives its start twice, and once is kept
-    given = plain.join(wanted, ["id", "hash"]).select(F.col("for_id").alias("id"), F.col("for_hash").alias("hash"), F.expr("left(text, half)").alias("start"), digests(F.col("text")).alias("c")).dropDuplicates(["id", "hash"])
+    given = plain.join(wanted, ["id", "hash"]).select(F.col("for_id").alias("id"), F.col("for_hash").alias("hash"), F.expr("left(text, half)").alias("start"), digests(F.col("text"), paragraph).alias("c")).dropDuplicates(["id", "hash"])
     both = plain.join(given, ["id", "hash"]).withColumn("doc_id", F.when(F.col("id") != FIRST, F.col("id")))
     both = both.withColumn("edited", F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), F.col("start"))).drop("start")
-    keyed = both.select("doc_id", "text", "edited", digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), "c")
+    keyed = both.select("doc_id", "text", "edited", digests(F.col("text"), paragraph).alias("a"), digests(F.col("edited"), paragraph).alias("b"), "c")
     tabled = keyed.selectExpr("doc_id", "text", "edited", "a", "b", "c", f"{_cells('a', CELLS)} as ta", f"{_cells('b', CELLS)} as tb", f"{_cells('c', CELLS)} as tc")
     return tabled.select(
         "doc_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import chat, lines, mixing
 from millrace.llm.bpe import encode_documents
-from millrace.llm.fingerprints import compare_versions
+from millrace.llm.fingerprints import SENTENCES, compare_versions
 from millrace.llm.hyperplanes import near_vectors
 from millrace.llm.language import identify
 from millrace.llm.minhash import near_duplicates
@@ -43,7 +43,7 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and edited versions, and their likeness. Not SQL: tested by set comparison."""
-    got = compare_versions(table(spark, sf_dir, "documents"))
+    got = compare_versions(table(spark, sf_dir, "documents"), paragraph=SENTENCES)
     return got.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 

@@ -328,6 +328,16 @@ def test_fingerprints_by_set_comparison(spark, sf_dir):
     assert got[-1]["fingerprint"] == got[-2]["fingerprint"] != got[0]["fingerprint"]
 
 
+def test_registered_fingerprints_cut_at_every_sentence_end(spark, tmp_path):
+    rows = [(1, "one two. three four! five six? seven eight. nine ten eleven twelve."), (2, "Éa bé. Нет да. Zet wat.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(QUERIES["op9_document_fingerprints"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    for r, (_, text), (_, other) in zip(got, rows, rows[::-1], strict=True):
+        half = len(text) // 2
+        a, b = ({p for p in re.split(r"\n|(?<=[.!?]) +", t) if p} for t in (text, text[: len(text) - half] + other[:half]))
+        assert len(a & b) > 0 and abs(r["near_edited"] - len(a & b) / len(a | b)) < 1e-9
+
+
 # tokens
 
 
