@@ -12,8 +12,9 @@ with either one fixed value or many. It is inferred by aligning pages one after
 Alignment is over all pages: each task aligns the pages of a host that it reads, then wrappers are aligned with
 wrappers, in two steps, so that a host with a third of all pages is no hot spot.
 
-The inferred wrapper assigns each path of labels a role: main region, dropped region, or neither. Pages are then
-read through the wrapper of their host.
+Pages of a host with an article, those with a main region instead, and those with neither have a wrapper each, so none
+makes parts of the others optional; pages without text aren't aligned. The inferred wrapper assigns each path of labels a
+role: main region, dropped region, fixed texts, or none. Pages are then read through the wrapper of their host and kind.
 """
 
 from __future__ import annotations
@@ -110,15 +111,50 @@ def _squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
+def _slots(node: list, below: bool = False) -> Iterator[str | list]:
+    """Texts between the children of a node, squeezed, and the children; ``below``: texts alone, also of children that aren't dropped."""
+    stack = [node]
+    while stack:
+        run: list[str] = []
+        for c in [*stack.pop()[2], None]:
+            if isinstance(c, str):
+                run.append(c)
+                continue
+            if value := _squeezed("".join(run)):
+                yield value
+            run.clear()
+            if c is not None and not below:
+                yield c
+            elif c is not None and not c[1]:
+                stack.append(c)
+
+
+def _main_kind(label: str) -> str:
+    tag, *words = label.split(".")
+    return "article" if tag == "article" else "main" if tag == "main" or ("main" in words and tag in ("div", "section")) else ""
+
+
+def kind_of(tree: list) -> str:
+    """What main region a page has: article, else main, else none."""
+    found, stack = "", [tree]
+    while stack:
+        node = stack.pop()
+        if node[1]:
+            continue
+        kind = _main_kind(node[0])
+        if kind == "article":
+            return kind
+        found = found or kind
+        stack += [c for c in node[2] if not isinstance(c, str)]
+    return found
+
+
 def wrapper_of(node) -> list:
     """The wrapper of one page: [label, dropped, optional, repeated, children], a text slot ["#", value]."""
     children: list = []
-    for child in node[2]:
+    for child in _slots(node):
         if isinstance(child, str):
-            if (value := _squeezed(child)) and not (children and children[-1][0] == "#"):
-                children.append(["#", value if len(value) <= 200 else SEVERAL])
-            elif value:
-                children[-1][1] = SEVERAL
+            children.append(["#", child if len(child) <= 200 else SEVERAL])
         else:
             children.append(wrapper_of(child))
     return [node[0], node[1], False, False, _folded(children)]
@@ -229,54 +265,63 @@ def _by_label(children: list) -> list:
 
 
 def _optional(child: list) -> list:
-    return child if child[0] == "#" else [child[0], child[1], True, *child[3:]]
+    return ["#", SEVERAL] if child[0] == "#" else [child[0], child[1], True, *child[3:]]
 
 
-def roles(wrapper: list, pages: int) -> dict[str, str]:
-    """Paths of labels of the main region (``m``) and of dropped regions (``d``), from a wrapper.
+def roles(wrapper: list, pages: int) -> dict[str, str | list]:
+    """Paths of labels of the main region (``m``), of dropped regions (``d``), and of fixed texts (a list), from a wrapper.
 
     Main is the outermost article, else main; without either, everything that isn't dropped. Slots with one
-    value on several pages are the host's own text: outside a main region, a node with no open slot is
-    dropped, if anything else is open.
+    value on all of several pages are the host's own text: a block with no open slot that every page has gives
+    its values, inside a main region too, if anything else of the region (or of the page, outside) is open.
     """
-    out: dict[str, str] = {}
-    mains = {kind: [] for kind in MAIN_TAGS}
+    out: dict[str, str | list] = {}
+    mains: dict[str, list] = {kind: [] for kind in MAIN_TAGS}
+    open_nodes: set[int] = set()
 
-    def look(node: list, path: str, gone: bool) -> bool:
+    def look(node: list, path: str) -> bool:
         """Whether anything below is open."""
         here = f"{path}/{node[0]}"
         if node[1]:
             out[here] = "d"
             return False
-        tag, *words = node[0].split(".")
-        if "article" in (tag, *words[:0]) or tag == "article":
-            mains["article"].append(here)
-        elif tag == "main" or (tag != "body" and "main" in words and tag in ("div", "section")):
-            mains["main"].append(here)
-        return any([c[1] == SEVERAL if c[0] == "#" else look(c, here, gone) for c in node[4]])
-
-    opened = look(wrapper, "", False)
-    found = mains["article"] or mains["main"]
-    for path in found:
+        if kind := _main_kind(node[0]):
+            mains[kind].append(here)
+        found = any([c[1] == SEVERAL if c[0] == "#" else look(c, here) for c in node[4]])
+        if found:
+            open_nodes.add(id(node))
+        return found
+
+    opened = look(wrapper, "")
+    for path in mains["article"] or mains["main"]:
         out[path] = "m"
-    if not found and opened and pages >= FIXED_FROM:
+    if opened and pages >= FIXED_FROM:
 
-        def fixed(node: list, path: str) -> bool:
-            here = f"{path}/{node[0]}"
+        def fixed(node: list, path: str, always: bool) -> list[str] | None:
+            """Values of the slots below, or None if one is open."""
+            here, always = f"{path}/{node[0]}", always and not node[2]
             if out.get(here) == "d":
-                return True
-            below = [c[1] != SEVERAL if c[0] == "#" else fixed(c, here) for c in node[4]]
-            if all(below) and node[0].split(".")[0] in BLOCKS and not node[2]:
-                out[here] = "d"
-            return all(below)
-
-        fixed(wrapper, "")
+                return []
+            if out.get(here) == "m" and id(node) not in open_nodes:
+                return None
+            below = [[c[1]] if c[0] == "#" and c[1] != SEVERAL else None if c[0] == "#" else fixed(c, here, always) for c in node[4]]
+            if None in below:
+                return None
+            values = [v for vs in below for v in vs]
+            if values and always and node[0].split(".")[0] in BLOCKS:
+                out[here] = sorted({*out.get(here, []), *values})
+            return values
+
+        fixed(wrapper, "", True)
     return out
 
 
-def main_text(page: str | None, known: dict[str, str]) -> str:
+def main_text(page: str | None, known: dict[str, str | list]) -> str:
     """Blocks of a page that its host's roles leave, one a line."""
-    tree = parse(page)
+    return text_of(parse(page), known)
+
+
+def text_of(tree: list, known: dict[str, str | list]) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -304,6 +349,8 @@ def main_text(page: str | None, known: dict[str, str]) -> str:
                 article_header = within and name == "header" and any(p in here for p in ("/article", "/main"))
                 if (role == "d" or child[1]) and not (article_header and child[0] == "header"):
                     continue
+                if isinstance(role, list) and (own := [*_slots(child, below=True)]) and set(own) <= set(role):
+                    continue
                 stack.append((iter(child[2]), here, within or role == "m", name))
                 break
             else:
@@ -342,16 +389,19 @@ def _depth_safe(tree: list, most: int = 120) -> list:
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A wrapper for each host among the pages of the task, given out whenever many are held."""
-    held: dict[str, list] = {}
+    """Wrappers for each host among the pages of the task, given out whenever many are held."""
+    held: dict[str, dict[str, list]] = {}
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([n for _, n in held.values()], pa.int64()), pa.array([json.dumps(w) for w, _ in held.values()])], names=["host", "pages", "wrapper"])
+        counts = [sum(n for _, n in w.values()) for w in held.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array(counts, pa.int64()), pa.array([_packed(w) for w in held.values()])], names=["host", "pages", "wrapper"])
 
     for b in batches:
         for url, page in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            host, new = _host(url), wrapper_of(_depth_safe(parse(page.as_py())))
-            held[host] = [_merged(held[host][0], new), held[host][1] + 1] if host in held else [new, 1]
+            tree = parse(page.as_py())
+            if next(_slots(tree, below=True), None) is None:
+                continue
+            _add(held.setdefault(_host(url), {}), kind_of(tree), wrapper_of(_depth_safe(tree)), 1)
             if len(held) >= 2000:
                 yield out()
                 held.clear()
@@ -359,17 +409,30 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _add(wrappers: dict[str, list], kind: str, new: list, pages: int) -> None:
+    wrappers[kind] = [_merged(wrappers[kind][0], new), wrappers[kind][1] + pages] if kind in wrappers else [new, pages]
+
+
+def _packed(wrappers: dict[str, list]) -> str:
+    return json.dumps(wrappers)
+
+
+def _unpacked(packed: str) -> dict[str, list]:
+    return json.loads(packed)
+
+
 def _join(table: pa.Table) -> pa.Table:
     """Align the wrappers of a host."""
-    rows = sorted(zip(table.column("wrapper").to_pylist(), table.column("pages").to_pylist(), strict=True))
-    now, pages = json.loads(rows[0][0]), sum(n for _, n in rows)
-    for w, _ in rows[1:]:
-        now = _merged(now, json.loads(w))
-    return pa.table({"host": [table.column("host")[0].as_py()], "pages": pa.array([pages], pa.int64()), "wrapper": [json.dumps(now)]})
+    now: dict[str, list] = {}
+    for packed in sorted(table.column("wrapper").to_pylist()):
+        for kind, (new, n) in _unpacked(packed).items():
+            _add(now, kind, new, n)
+    pages = sum(table.column("pages").to_pylist())
+    return pa.table({"host": [table.column("host")[0].as_py()], "pages": pa.array([pages], pa.int64()), "wrapper": [_packed(now)]})
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, pages, wrapper (JSON) for every host; pages without a host share the empty one."""
+    """host, pages, wrapper (JSON: wrapper and pages by kind) for every host with texts; pages without a host share the empty one."""
     learned = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")).mapInArrow(_learn, "host string, pages long, wrapper string")
     salted = learned.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(64)))
     some = salted.groupBy("host", "salt").applyInArrow(_join, "host string, pages long, wrapper string")
@@ -398,12 +461,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
 def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [json.dumps(roles(json.loads(w), n)) for n, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+        found = [json.dumps({kind: roles(w, n) for kind, (w, n) in _unpacked(packed).items()}) for packed in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["host", "roles"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: dict[str | None, dict[str, str]] = {None: {}}
+    kept: dict[str | None, dict[str, dict]] = {None: {}}
     for b in batches:
         texts = []
         for page, known in zip(b.column(2), b.column(3).to_pylist(), strict=True):
@@ -411,5 +474,6 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(kept) > 500:
                     kept = {None: {}}
                 kept[known] = json.loads(known)
-            texts.append(main_text(page.as_py(), kept[known]))
+            tree = parse(page.as_py())
+            texts.append(text_of(tree, kept[known].get(kind_of(tree), {})))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])

@@ -310,6 +310,24 @@ def test_wrapper_is_union_free():
     main_text("<div>" * 3000 + "deep", {})
 
 
+def texts_of(spark, pages):
+    rows = [(k, "http://a.b/", p) for k, p in enumerate(pages)]
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_fixed_texts_go_inside_articles_and_beside_them(spark):
+    terms = "<div class='terms'>All rights kept</div>"
+    inside = [f"<article><p>Same start</p><h2>t{k}</h2><p>x{k}</p>{terms}</article>" for k in range(4)]
+    inside[3] = inside[3].replace("</article>", "<blockquote><p>once</p></blockquote></article>")
+    want = [f"t{k}\nx{k}" + "\nonce" * (k == 3) for k in range(4)]
+    assert texts_of(spark, inside) == want
+    plain = [f"<div class='top'>My site</div><div><p>y{k}</p></div>" for k in range(3)]
+    mains = [f"<main><p>z{k}</p>{terms}</main>" for k in range(3)]
+    assert texts_of(spark, [*inside, *plain, *mains, None]) == [*want, "y0", "y1", "y2", "z0", "z1", "z2", ""]
+    assert texts_of(spark, [inside[0]] * 3) == ["Same start\nt0\nx0\nAll rights kept"] * 3
+
+
 # fingerprints
 
 
