@@ -7,7 +7,10 @@ with either one fixed value or many. It is inferred by aligning pages one after
 * within a page, neighbouring subtrees with equal labels fold into a repeated group;
 * between wrapper and page, the children of matching nodes are aligned; a child that one side lacks
   becomes optional, neighbours that alignment leaves side by side with one label become repeated;
-* text slots that differ become open.
+* text slots that differ become open; a slot holds a 64-bit digest of its whole value, whatever its length.
+
+Trees have any depth: functions over them go down by Python calls, for which each tree raises the limit as it needs,
+and wrappers are stored flat.
 
 Alignment is over all pages: each task aligns the pages of a host that it reads, then wrappers are aligned with
 wrappers, in two steps, so that a host with a third of all pages is no hot spot.
@@ -19,10 +22,13 @@ role: main region, dropped region, fixed texts, or none. Pages are then read thr
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
+import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -111,6 +117,30 @@ def _squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+@lru_cache(maxsize=1 << 16)
+def _path(above: str, label: str) -> str:
+    """A path of labels, as a digest: its length doesn't grow with the depth."""
+    return _digest(f"{above}/{label}")
+
+
+def _go_down(depth: int) -> None:
+    """Allows calls as deep as functions over a tree of ``depth`` need."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * depth + 1000))
+
+
+def _depth(tree: list) -> int:
+    deepest, stack = 0, [(tree, 1)]
+    while stack:
+        node, depth = stack.pop()
+        deepest = max(deepest, depth)
+        stack += [(c, depth + 1) for c in node[2] if not isinstance(c, str)]
+    return deepest
+
+
 def _slots(node: list, below: bool = False) -> Iterator[str | list]:
     """Texts between the children of a node, squeezed, and the children; ``below``: texts alone, also of children that aren't dropped."""
     stack = [node]
@@ -150,11 +180,11 @@ def kind_of(tree: list) -> str:
 
 
 def wrapper_of(node) -> list:
-    """The wrapper of one page: [label, dropped, optional, repeated, children], a text slot ["#", value]."""
+    """The wrapper of one page: [label, dropped, optional, repeated, children], a text slot ["#", digest]."""
     children: list = []
     for child in _slots(node):
         if isinstance(child, str):
-            children.append(["#", child if len(child) <= 200 else SEVERAL])
+            children.append(["#", _digest(child)])
         else:
             children.append(wrapper_of(child))
     return [node[0], node[1], False, False, _folded(children)]
@@ -269,7 +299,7 @@ def _optional(child: list) -> list:
 
 
 def roles(wrapper: list, pages: int) -> dict[str, str | list]:
-    """Paths of labels of the main region (``m``), of dropped regions (``d``), and of fixed texts (a list), from a wrapper.
+    """Paths of labels of the main region (``m``), of dropped regions (``d``), and of fixed texts (their digests), from a wrapper.
 
     Main is the outermost article, else main; without either, everything that isn't dropped. Slots with one
     value on all of several pages are the host's own text: a block with no open slot that every page has gives
@@ -281,7 +311,7 @@ def roles(wrapper: list, pages: int) -> dict[str, str | list]:
 
     def look(node: list, path: str) -> bool:
         """Whether anything below is open."""
-        here = f"{path}/{node[0]}"
+        here = _path(path, node[0])
         if node[1]:
             out[here] = "d"
             return False
@@ -299,7 +329,7 @@ def roles(wrapper: list, pages: int) -> dict[str, str | list]:
 
         def fixed(node: list, path: str, always: bool) -> list[str] | None:
             """Values of the slots below, or None if one is open."""
-            here, always = f"{path}/{node[0]}", always and not node[2]
+            here, always = _path(path, node[0]), always and not node[2]
             if out.get(here) == "d":
                 return []
             if out.get(here) == "m" and id(node) not in open_nodes:
@@ -331,27 +361,27 @@ def text_of(tree: list, known: dict[str, str | list]) -> str:
         run.clear()
 
     def walk(root: list, inside: bool) -> None:
-        stack = [(iter(root[2]), "", inside, "")]
+        stack = [(iter(root[2]), "", inside, "", False)]
         while stack:
-            children, path, within, tag = stack[-1]
+            children, path, within, tag, below_main = stack[-1]
             for child in children:
                 if isinstance(child, str):
                     if within:
                         run.append(child)
                     continue
-                here = f"{path}/{child[0]}"
+                here = _path(path, child[0])
                 name = child[0].split(".", 1)[0]
                 if name in BLOCKS:
                     flush()
                 elif name == "br":
                     run.append(" ")
                 role = known.get(here)
-                article_header = within and name == "header" and any(p in here for p in ("/article", "/main"))
+                article_header = within and name == "header" and below_main
                 if (role == "d" or child[1]) and not (article_header and child[0] == "header"):
                     continue
-                if isinstance(role, list) and (own := [*_slots(child, below=True)]) and set(own) <= set(role):
+                if isinstance(role, list) and (own := {*map(_digest, _slots(child, below=True))}) and own <= set(role):
                     continue
-                stack.append((iter(child[2]), here, within or role == "m", name))
+                stack.append((iter(child[2]), here, within or role == "m", name, below_main or name.startswith(MAIN_TAGS)))
                 break
             else:
                 if tag in BLOCKS:
@@ -372,22 +402,6 @@ def _host(url: str | None) -> str:
     return m[1].lower().rpartition("@")[2] if m else ""
 
 
-def _depth_safe(tree: list, most: int = 120) -> list:
-    """Cut nesting deeper than ``most`` for alignment only; texts are read from the whole tree."""
-    top: list = [tree[0], tree[1], []]
-    stack = [(tree, top, 0)]
-    while stack:
-        node, copy, depth = stack.pop()
-        for c in node[2]:
-            if isinstance(c, str):
-                copy[2].append(c)
-            elif depth < most:
-                new: list = [c[0], c[1], []]
-                copy[2].append(new)
-                stack.append((c, new, depth + 1))
-    return top
-
-
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wrappers for each host among the pages of the task, given out whenever many are held."""
     held: dict[str, dict[str, list]] = {}
@@ -401,7 +415,8 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree = parse(page.as_py())
             if next(_slots(tree, below=True), None) is None:
                 continue
-            _add(held.setdefault(_host(url), {}), kind_of(tree), wrapper_of(_depth_safe(tree)), 1)
+            _go_down(_depth(tree))
+            _add(held.setdefault(_host(url), {}), kind_of(tree), wrapper_of(tree), 1)
             if len(held) >= 2000:
                 yield out()
                 held.clear()
@@ -414,11 +429,38 @@ def _add(wrappers: dict[str, list], kind: str, new: list, pages: int) -> None:
 
 
 def _packed(wrappers: dict[str, list]) -> str:
-    return json.dumps(wrappers)
+    """Wrappers as JSON of one level: nodes in order of their starts, each with the number of its children."""
+    flat: dict[str, list] = {}
+    for kind, (wrapper, pages) in wrappers.items():
+        nodes, stack = [], [wrapper]
+        while stack:
+            node = stack.pop()
+            if node[0] == "#":
+                nodes.append(node)
+            else:
+                nodes.append([*node[:4], len(node[4])])
+                stack += reversed(node[4])
+        flat[kind] = [nodes, pages]
+    return json.dumps(flat)
 
 
 def _unpacked(packed: str) -> dict[str, list]:
-    return json.loads(packed)
+    """The reverse, with calls as deep as the wrappers allowed."""
+    wrappers: dict[str, list] = {}
+    for kind, (nodes, pages) in json.loads(packed).items():
+        top: list = []
+        stack, deepest = [(top, 1)], 0
+        for node in nodes:
+            while len(stack[-1][0]) == stack[-1][1]:
+                stack.pop()
+            stack[-1][0].append(node)
+            if node[0] != "#":
+                stack.append((children := [], node[4]))
+                node[4] = children
+                deepest = max(deepest, len(stack))
+        _go_down(deepest)
+        wrappers[kind] = [top[0], pages]
+    return wrappers
 
 
 def _join(table: pa.Table) -> pa.Table:

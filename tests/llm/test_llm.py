@@ -328,6 +328,14 @@ def test_fixed_texts_go_inside_articles_and_beside_them(spark):
     assert texts_of(spark, [inside[0]] * 3) == ["Same start\nt0\nx0\nAll rights kept"] * 3
 
 
+def test_long_fixed_texts_and_deep_articles(spark):
+    notice = f"<div class='top'>{'We keep all rights. ' * 20}<!-- c -->End.</div>"
+    assert texts_of(spark, [f"{notice}<div><p>y{k}</p></div>" for k in range(3)]) == ["y0", "y1", "y2"]
+    for n in (130, 4000):
+        deep = [f"<p>beside {k}</p>" + "<div>" * n + f"<article><p>in {k}</p>{notice}</article>" + "</div>" * n for k in range(3)]
+        assert texts_of(spark, deep) == ["in 0", "in 1", "in 2"]
+
+
 # fingerprints
 
 
