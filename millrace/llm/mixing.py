@@ -92,7 +92,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text_col).alias("own_hash"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
     numbered = keyed.withColumn("own_nth", F.row_number().over(Window.partitionBy("own_id", "own_hash").orderBy("source")))
     both = numbered.join(counts, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")) & (F.col("own_nth") == F.col("nth")))
-    copies = F.expr("if(size = 0, array(0L), filter(array(least(taken, size), greatest(taken - size, 0L)), x -> x > 0))")
+    copies = F.expr("if(size = 0, array(0L), filter(concat(array_repeat(size, cast(taken div size as int)), array(taken % size)), x -> x > 0))")
     spread = both.select("row", "text", "size", F.explode(copies).alias("words"))
     leading = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     pieces = F.slice(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, (F.col("words") + leading).cast("int"))

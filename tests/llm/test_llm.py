@@ -220,6 +220,16 @@ def test_mixing(spark, odd):
     assert mixing.mixed_documents(odd).columns == odd.columns
 
 
+def test_mixed_documents_repeat_as_often_as_taken(spark):
+    docs = [(k, " ".join(f"w{j}" for j in range(k % 7 + 1)), "a" if k < 20 else "b") for k in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(df, most=3, budget=2.5).collect()}
+    words = dict.fromkeys(taken, 0)
+    for r in mixing.mixed_documents(df, most=3, budget=2.5).collect():
+        words[r["doc_id"]] += len(r["text"].split())
+    assert words == taken and max(taken[i] / (i % 7 + 1) for i in taken) == 3
+
+
 # chat
 
 
