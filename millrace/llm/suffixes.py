@@ -7,8 +7,8 @@ strings have equal anchors. A run of neighbouring strings with one anchor is a s
 1. Anchors are grouped by hash; only those that several documents hold go on. What one batch of texts holds several
    times counts as one row of the shuffle.
 2. Stretches of such anchors go to the task of their anchor. Equal stretches need only their smallest id. Where an
-   anchor has different stretches, the suffixes that start in them are sorted: multikey quicksort over words of eight
-   bytes down to a depth of 24, then blind tries order the groups whose prefixes are still equal. Suffixes that
+   anchor has different stretches, the suffixes that start in them are sorted: a lexsort of whole arrays over three words
+   of eight bytes, to a depth of 24, in place of multikey quicksort, then blind tries order the groups whose prefixes are still equal. Suffixes that
    agree in 50 bytes are neighbours then, and the smallest id of each such run decides.
 3. Covered strings come back to their documents as intervals, which are merged and cut out.
 
