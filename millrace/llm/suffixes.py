@@ -4,29 +4,31 @@ A byte goes if a 50-byte string that covers it also starts in a document with a
 a corpus isn't needed for that: every 50-byte string contains an anchor, the smallest 16-byte gram by a hash, and equal
 strings have equal anchors. A run of neighbouring strings with one anchor is a stretch (84 bytes at most).
 
-1. Anchors are grouped by hash; only those that several documents hold go on. What one batch of texts holds several
-   times counts as one row of the shuffle.
-2. Stretches of such anchors go to the task of their anchor. Equal stretches need only their smallest id. Where an
-   anchor has different stretches, the suffixes that start in them are sorted: a lexsort of whole arrays over three words
-   of eight bytes, to a depth of 24, in place of multikey quicksort, then blind tries order the groups whose prefixes are still equal. Suffixes that
-   agree in 50 bytes are neighbours then, and the smallest id of each such run decides.
+1. Of equal stretches the one with the smallest id is the owner, first within some megabytes of text, then in
+   the task of the anchor, where rows arrive sorted by anchor, stretch and id. All others are covered whole, for
+   which hashes of 64 bits suffice.
+2. Owners whose anchor has different stretches in different documents go on, with their bytes. The suffixes that start
+   in them are sorted by anchor: multikey quicksort (three-way, over words of eight bytes) to a depth of 24, then blind tries
+   order the groups whose prefixes are still equal. Suffixes that agree in 50 bytes are neighbours then, and the
+   smallest id of each such run decides.
 3. Covered strings come back to their documents as intervals, which are merged and cut out.
 
-Memory: a slice of text, and the different stretches of the anchors at hand; occurrences stream through in sorted
-order, whatever their number.
+An anchor with more than ``MOST_STRETCHES`` different stretches isn't sorted in one task: its strings go their own ways by
+their hash, each to be sorted with those that share it. So the memory of a task is a slice of text and that many
+stretches, whatever the table; the rows of a passage in every document are one for each ``ONCE_BYTES`` of text.
 """
 
 from __future__ import annotations
 
-import gc
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import cut, uncut
+from millrace.llm.shared import cut
 from millrace.llm.words import _BYTE, U, mix, powers
 
 LENGTH, GRAM = 50, 16
@@ -35,24 +37,26 @@ SHALLOW = 24
 SEGMENT = 1 << 19
 PLACE = 24
 FIRST = -(2**63)
-FLUSH_ROWS, FLUSH_BYTES = 200_000, 2 << 20
+ONCE_BYTES, FLUSH_ROWS, FLUSH_BYTES = 8 << 20, 200_000, 4 << 20
+MOST_STRETCHES = 20_000
 
 
-def stretches(raw: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+def stretches(raw: Iterable[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
     """Stretches of the texts, slice by slice.
 
     (text number, first string's start within the text, number of strings, anchor hash, stretch hash, bytes of the
-    slice, start within the slice). A text longer than ``SEGMENT`` is cut into segments that overlap by 49 bytes.
+    slice). A text longer than ``SEGMENT`` is cut into segments that overlap by 49 bytes.
     """
-    pieces = [(k, at, r[at : at + SEGMENT + LENGTH - 1]) for k, r in enumerate(raw) for at in range(0, max(len(r) - LENGTH + 1, 0), SEGMENT)]
     held: list = []
     size = 0
-    for p in pieces:
-        if held and size + len(p[2]) > SEGMENT * 2:
-            yield _sliced(held)
-            held, size = [], 0
-        held.append(p)
-        size += len(p[2])
+    for k, r in enumerate(raw):
+        for at in range(0, max(len(r) - LENGTH + 1, 0), SEGMENT):
+            piece = r[at : at + SEGMENT + LENGTH - 1]
+            if held and size + len(piece) > SEGMENT * 2:
+                yield _sliced(held)
+                held, size = [], 0
+            held.append((k, at, piece))
+            size += len(piece)
     if held:
         yield _sliced(held)
 
@@ -74,7 +78,6 @@ def _sliced(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     anchor = (best & low).astype(np.int64)
     sizes = np.asarray([len(p[2]) for p in pieces])
     begins = np.concatenate(([0], np.cumsum(sizes)))
-    own = np.zeros(n, bool)
     piece_of = np.repeat(np.arange(len(pieces)), sizes)
     own = piece_of[: len(anchor)] == piece_of[LENGTH - 1 : LENGTH - 1 + len(anchor)]
     new = np.ones(len(anchor), bool)
@@ -89,7 +92,7 @@ def _sliced(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     which = piece_of[first]
     base = np.asarray([p[1] for p in pieces]) - begins[:-1]
     number = np.asarray([p[0] for p in pieces])
-    return number[which], first + base[which], ends - first, grams[anchor[first]].view(np.int64), mix(body + lead * U(0x9E3779B97F4A7C15)).view(np.int64), joined, first
+    return number[which], first + base[which], ends - first, grams[anchor[first]].view(np.int64), mix(body + lead * U(0x9E3779B97F4A7C15)).view(np.int64), n
 
 
 #: Unlike words, bytes here keep their case.
@@ -97,106 +100,178 @@ _BYTE_FULL = _BYTE.copy()
 _BYTE_FULL[65:91] = mix(np.arange(65, 91, dtype=U)) | U(1)
 
 
-def _raw(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+def _raw(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 texts one by one; null is empty."""
+    return (t.as_py() or b"" for t in column.cast(pa.binary()))
 
 
-def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(route, h, lo, hi): hi > lo says that several documents of the batch hold h; hi null: known to be shared."""
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    if not len(columns[0]):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))))
+
+
+def _sizes(start: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(start, n))
+
+
+def _owners(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a row has the smallest id of its key."""
+    order = np.lexsort((ids, key))
+    start = _starts(key[order])
+    least = np.empty(len(key), np.int64)
+    least[order] = np.repeat(ids[order][start], _sizes(start, len(key)))
+    return ids == least
+
+
+def _joined(ids: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of strings, those of one text that touch or overlap in bytes as one. A place is start << 32 | tie."""
+    if not len(ids):
+        return ids, place, n
+    tie, at = place & 0xFFFFFFFF, place >> 32
+    order = np.lexsort((at, tie, ids))
+    ids, tie, at, end = ids[order], tie[order], at[order], (at + n)[order]
+    # within a text starts rise, and so do ends up to the last one seen
+    text = np.cumsum(np.isin(np.arange(len(ids)), _starts(ids, tie)))
+    reach = np.maximum.accumulate(end + text * (1 << 33)) - text * (1 << 33)
+    new = np.concatenate(([True], (text[1:] != text[:-1]) | (at[1:] > reach[:-1] + LENGTH - 1)))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(ids)) - 1
+    return ids[first], (at[first] << 32) | tie[first], reach[last] - at[first]
+
+
+def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(route, key, id, place, n): a stretch with its anchor as route, or, key null, strings known to be covered."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        h, key, ids, place, n = (np.concatenate([x[k] for x in held]) for k in range(5))
+        held.clear()
+        mine = _owners(key, ids)
+        gone = _joined(ids[~mine], place[~mine], n[~mine])
+        none = np.arange(mine.sum() + len(gone[0])) >= mine.sum()
+        columns = [np.concatenate(pair) for pair in ((h[mine], mix(gone[0].view(U)).view(np.int64)), (key[mine], gone[0]), (ids[mine], gone[0]), (place[mine], gone[1]), (n[mine], gone[2]))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64(), mask=none if k == 1 else None) for k, c in enumerate(columns)], names=["route", "key", "id", "place", "n"])
+
     for b in batches:
-        ids = b.column(0).to_numpy()
-        for number, _, _, h, _, _, _ in stretches(_raw(b.column(1))):
-            own = ids[number]
-            order = np.lexsort((own, h))
-            h, own = h[order], own[order]
-            fresh = np.ones(len(h), bool)
-            fresh[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
-            h, own = h[fresh], own[fresh]
-            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            last = np.append(start[1:], len(h)) - 1
-            several = np.repeat(last > start, last - start + 1)
-            route = np.concatenate((h[start], own[several]))
-            keys = np.concatenate((h[start], h[several]))
-            lo = np.concatenate((own[start], own[several]))
-            hi = pa.array(np.concatenate((own[last], own[several])), pa.int64(), mask=np.arange(len(lo)) >= len(start))
-            yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(keys), pa.array(lo), hi], names=["route", "h", "lo", "hi"])
-
-
-def _packed(ids: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    """One row an id, with its rows of ``columns`` as bytes."""
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], np.stack(columns, axis=1)[order]
-    start = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.empty(0, np.int64)
-    ends = np.append(start[1:], len(ids))
-    return pa.RecordBatch.from_arrays([pa.array(ids[start], pa.int64()), pa.array([rows[a:b].tobytes() for a, b in zip(start.tolist(), ends.tolist(), strict=True)], pa.binary())], names=["id", "packed"])
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by h: those whose h several documents hold, packed by document."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    count, tail, tail_hot = 0, None, False
+        ids, ties = b.column(0).to_numpy(), b.column(1).to_numpy()
+        for number, at, n, h, key, width in stretches(_raw(b.column(2))):
+            held.append((h, key, ids[number], (at.astype(np.int64) << 32) | ties[number], n.astype(np.int64)))
+            size += width
+            if size > ONCE_BYTES:
+                yield out()
+                size = 0
+    if held:
+        yield out()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = FLUSH_ROWS) -> Iterator[pa.Table]:
+    """Batches put together to about so many rows."""
+    held: list[pa.RecordBatch] = []
     for b in batches:
-        if not b.num_rows:
-            continue
-        h, lo = b.column(0).to_numpy(), b.column(1).to_numpy()
-        known = b.column(2).is_null().to_numpy(zero_copy_only=False)
-        hi = b.column(2).fill_null(0).to_numpy()
-        found.append((lo[known], h[known]))
-        h, lo, hi = h[~known], lo[~known], hi[~known]
-        if tail is not None:
-            h, lo, hi = (np.concatenate((x, y)) for x, y in zip(tail, (h, lo, hi), strict=True))
-        if len(h):
-            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            least, most = np.minimum.reduceat(lo, start), np.maximum.reduceat(hi, start)
-            hot = least < most
-            if tail is not None and h[0] == tail[0][0]:
-                hot[0] |= tail_hot
-            sizes = np.diff(np.append(start, len(h)))
-            single = (lo == hi) & np.repeat(hot, sizes)
-            if hot[-1]:  # later rows of the last group need only know that it is shared
-                found.append((lo[single], h[single]))
-                keep = len(h) - 1
-                tail, tail_hot = (h[keep:], lo[keep:], np.where(True, hi[keep:] + 1, 0)), True
-            else:
-                single[start[-1] :] = False
-                found.append((lo[single], h[single]))
-                tail, tail_hot = (h[start[-1] :], lo[start[-1] :], hi[start[-1] :]), False
-        count += sum(len(x[0]) for x in found[-2:])
-        if count > FLUSH_ROWS:
-            yield _packed(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
-            found, count = [], 0
-    if found:
-        yield _packed(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, ref, text, shared anchors): a row for each occurrence; the first of each stretch has its bytes (kind 0)."""
+        if b.num_rows:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of requests sorted by (route, key, id): (id, place, n, h, hot). h null: covered; else to be sorted with others of h.
+
+    Of the last anchor of a batch only owners are held, and beyond ``MOST_STRETCHES`` only those of its last stretch.
+    """
+    carried: list[np.ndarray] = [np.empty(0, np.int64)] * 5
+    known_hot = False
+
+    def out(parts: list[tuple], ends: bool) -> pa.RecordBatch:
+        ids, place, n, h, hot, none = (np.concatenate([p[k] for p in parts]) for k in range(6))
+        order = np.lexsort((place, ids))
+        return pa.RecordBatch.from_arrays([pa.array(ids[order]), pa.array(place[order]), pa.array(n[order]), pa.array(h[order], mask=none[order]), pa.array(hot[order])], names=["id", "place", "n", "h", "hot"])
+
+    def covered(ids, place, n) -> tuple:
+        return ids, place, n, ids, np.zeros(len(ids), bool), np.ones(len(ids), bool)
+
+    for table in _ended(_gathered(batches)):
+        parts: list[tuple] = []
+        if table is not None:
+            known = table.column("key").is_null().to_numpy()
+            h, key, ids, place, n = (np.concatenate((c, table.column(k).fill_null(0).to_numpy()[~known])) for k, c in enumerate(carried))
+            parts.append(covered(*(table.column(k).to_numpy()[known] for k in ("id", "place", "n"))))
+        else:
+            h, key, ids, place, n = carried
+        was_hot, known_hot = known_hot, False
+        start = _starts(h, key)
+        mine = ids == np.repeat(ids[start], _sizes(start, len(h)))
+        parts.append(covered(ids[~mine], place[~mine], n[~mine]))
+        h, key, ids, place, n = (x[mine] for x in (h, key, ids, place, n))
+        start = _starts(h)
+        if len(start):
+            sizes = _sizes(start, len(h))
+            fresh = np.zeros(len(h), np.int64)
+            fresh[_starts(h, key)] = 1
+            several = np.add.reduceat(fresh, start)
+            hot = several > MOST_STRETCHES
+            hot[0] |= was_hot and len(carried[0]) > 0 and h[0] == carried[0][0]
+            sent = hot | ((several > 1) & (np.minimum.reduceat(ids, start) < np.maximum.reduceat(ids, start)))
+            row_sent, row_hot = np.repeat(sent, sizes), np.repeat(hot, sizes)
+            left = len(h)
+            if table is not None:
+                known_hot = bool(hot[-1])
+                left = int(_starts(h, key)[-1]) if known_hot else int(start[-1])
+            carried = [x[left:] for x in (h, key, ids, place, n)]
+            row_sent[left:] = False
+            parts.append((ids[row_sent], place[row_sent], n[row_sent], h[row_sent], row_hot[row_sent], np.zeros(row_sent.sum(), bool)))
+        if any(len(p[0]) for p in parts):
+            yield out(parts, table is None)
+
+
+def _ended(tables: Iterator[pa.Table]) -> Iterator[pa.Table | None]:
+    yield from tables
+    yield None
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (id, tie, text, asked): (g, id, place, n, body) for each stretch, and for each string of those that are hot.
+
+    Strings of which a smaller id of the same batch has an equal one are covered: their body is null.
+    """
+    names = ["g", "id", "place", "n", "body"]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=names)
+
     for b in batches:
-        ids, refs = b.column(0).to_numpy(), b.column(1).to_numpy()
-        lists = [np.unique(np.frombuffer(b"".join(x), np.int64)) for x in b.column(3).to_pylist()]
-        for number, at, n, h, key, joined, place in stretches(_raw(b.column(2))):
-            keep = np.zeros(len(h), bool)
-            start = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
-            for lo, hi in zip(start.tolist(), np.append(start[1:], len(h)).tolist(), strict=True):
-                own = lists[number[lo]]
-                if len(own):
-                    spot = np.minimum(np.searchsorted(own, h[lo:hi]), len(own) - 1)
-                    keep[lo:hi] = own[spot] == h[lo:hi]
-            number, at, n, h, key, place = (x[keep] for x in (number, at, n, h, key, place))
-            if not len(h):
-                continue
-            own = ids[number]
-            order = np.lexsort((own, key, h))
-            head = order[np.concatenate(([True], (h[order][1:] != h[order][:-1]) | (key[order][1:] != key[order][:-1])))]
-            bodies = [joined[p : p + k + LENGTH - 1] for p, k in zip(place[head].tolist(), n[head].tolist(), strict=True)]
-            later = np.ones(len(h), bool)
-            later[head] = False
-            rows = np.concatenate((head, np.flatnonzero(later)))
-            kind = (np.arange(len(rows)) >= len(head)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[rows]), pa.array(kind), pa.array(key[rows]), pa.array(own[rows]), pa.array(refs[number][rows]), pa.array(at[rows].astype(np.int64)), pa.array(bodies + [None] * (len(rows) - len(head)), pa.binary())],
-                names=["h", "kind", "key", "id", "ref", "at", "body"],
-            )
+        rows: list[tuple] = []
+        hot: list[tuple] = []
+        size = 0
+        for i, text, asked in zip(b.column(0).to_pylist(), _raw(b.column(2)), b.column(3), strict=True):
+            for x in asked.values.to_pylist() if not len(asked) else asked.as_py():
+                at = x["place"] >> 32
+                if x["hot"]:
+                    for s in range(at, at + x["n"]):
+                        body = text[s : s + LENGTH]
+                        hot.append((xxhash.xxh3_64_intdigest(body) - (1 << 63), i, x["place"] + ((s - at) << 32), 1, body))
+                else:
+                    rows.append((x["h"], i, x["place"], x["n"], text[at : at + x["n"] + LENGTH - 1]))
+                size += x["n"] + LENGTH
+            if len(rows) + len(hot) > FLUSH_ROWS // 4 or size > FLUSH_BYTES:
+                if rows or hot:
+                    yield out(rows + _once(hot))
+                rows, hot, size = [], [], 0
+        if rows or hot:
+            yield out(rows + _once(hot))
+
+
+def _once(hot: list[tuple]) -> list[tuple]:
+    if not hot:
+        return []
+    mine = _owners(np.asarray([x[0] for x in hot]), np.asarray([x[1] for x in hot]))
+    return [x if own else (x[1], *x[1:4], None) for x, own in zip(hot, mine.tolist(), strict=True)]
 
 
 class BlindTrie:
@@ -247,29 +322,77 @@ class BlindTrie:
                 stack += [node[1][k] for k in sorted(node[1], reverse=True)]
 
 
-def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def multikey(words: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Three-way quicksort over words, all parts of one round at once.
+
+    Each part is split by the median of three of its words at the part's depth; the middle goes on one word deeper. Returns
+    (order, whether each row equals the one before it in group and all words).
+    """
+    table = np.stack(words)
+    order = np.argsort(group, kind="stable")
+    same = np.zeros(len(order), bool)
+    start = _starts(group[order])
+    size = _sizes(start, len(order))
+    start, size = start[size > 1], size[size > 1]
+    depth = np.zeros(len(start), np.int64)
+    while len(start):
+        base = np.cumsum(size) - size
+        part = np.repeat(np.arange(len(start)), size)
+        at = np.arange(len(part)) + (start - base)[part]
+        rows = order[at]
+        value = table[depth[part], rows]
+        a, b, c = value[base], value[base + size // 2], value[base + size - 1]
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[part]
+        to, counts, before = np.empty(len(part), np.int64), [], base.copy()
+        for which in (value < pivot, value == pivot, value > pivot):
+            upto = np.cumsum(which)
+            within = upto - (upto[base] - which[base])[part]
+            counts.append(upto[base + size - 1] - upto[base] + which[base])
+            to[which] = (before[part] + within - 1)[which]
+            before += counts[-1]
+        order[at[to]] = rows
+        n = np.stack(counts, axis=1)
+        begin = start[:, None] + np.cumsum(n, axis=1) - n
+        deeper = depth[:, None] + np.array([0, 1, 0])
+        begin, n, deeper = (x.ravel()[n.ravel() > 1] for x in (begin, n, deeper))
+        over = deeper == len(words)
+        spot = np.repeat(begin[over] + 1 - np.cumsum(n[over] - 1) + (n[over] - 1), n[over] - 1) + np.arange((n[over] - 1).sum())
+        same[spot] = True
+        start, size, depth = begin[~over], n[~over], deeper[~over]
+    return order, same
+
+
+def _words(data: np.ndarray, starts: np.ndarray, at: int) -> np.ndarray:
+    return data[(starts + at)[:, None] + np.arange(8)].view(">u8").ravel().astype(U)
+
+
+def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, who: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sort suffixes of ``buffer`` within groups by their first 50 bytes.
 
-    Returns (order, whether each is equal to the one before it in 50 bytes and group).
+    Returns (order, whether each is equal to the one before it in 50 bytes and group). With ``who``, suffixes that share
+    the shallow prefix with none of another owner stay unsorted below it, and count as different.
     """
     data = np.frombuffer(buffer + bytes(8), np.uint8)
-    words = []
-    for at in range(0, SHALLOW, 8):
-        eight = data[(starts + at)[:, None] + np.arange(8)]
-        words.append(eight.copy().view(">u8").ravel().astype(U))
-    order = np.lexsort((*reversed(words), group))
-    same = np.zeros(len(order), bool)
-    if len(order) > 1:
-        a, b = order[1:], order[:-1]
-        same[1:] = (group[a] == group[b]) & (words[0][a] == words[0][b]) & (words[1][a] == words[1][b]) & (words[2][a] == words[2][b])
+    order, same = multikey([_words(data, starts, at) for at in range(0, SHALLOW, 8)], group)
     equal = np.zeros(len(order), bool)
     runs = np.flatnonzero(~same)
     ends = np.append(runs[1:], len(order))
-    long = ends - runs > 1
-    for lo, hi in zip(runs[long].tolist(), ends[long].tolist(), strict=True):
-        members = order[lo:hi].tolist()
+    deep = ends - runs > 1
+    if who is not None and len(runs):
+        own = who[order]
+        deep &= np.minimum.reduceat(own, runs) < np.maximum.reduceat(own, runs)
+    if deep.any():
+        # a group whose rests are all equal is a trie of one leaf
+        inside = np.repeat(deep, ends - runs)
+        spot = np.flatnonzero(inside & same)
+        unlike = np.zeros(len(order), np.int64)
+        unlike[spot] = np.any([_words(data, starts[order[spot]], at) != _words(data, starts[order[spot - 1]], at) for at in (*range(SHALLOW, LENGTH - 8, 8), LENGTH - 8)], axis=0)
+        plain = deep & (np.add.reduceat(unlike, runs) == 0)
+        equal |= np.repeat(plain, ends - runs) & same
+        deep &= ~plain
+    for lo, hi in zip(runs[deep].tolist(), ends[deep].tolist(), strict=True):
         trie = BlindTrie()
-        for m in members:
+        for m in order[lo:hi].tolist():
             p = int(starts[m])
             trie.add(buffer[p + SHALLOW : p + LENGTH], m)
         at = lo
@@ -280,95 +403,61 @@ def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray) -> tuple[
     return order, equal
 
 
-def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (h, kind, key, id): covered intervals, packed by (id, ref)."""
-    parts: list[list[np.ndarray]] = []
-    bodies: list[list] = []
-    rows = size = 0
-    carried: tuple | None = None  # (h, keys, ids, string minima, offsets) of the last anchor
-
-    def out(ids, refs, lo, hi):
-        order = np.lexsort((refs, ids))
-        ids, refs, pairs = ids[order], refs[order], np.stack((lo, hi), axis=1)[order]
-        start = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (refs[1:] != refs[:-1])))) if len(ids) else np.empty(0, np.int64)
-        ends = np.append(start[1:], len(ids))
-        packed = [_union(pairs[a:b]).tobytes() for a, b in zip(start.tolist(), ends.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(ids[start], pa.int64()), pa.array(refs[start], pa.int64()), pa.array(packed, pa.binary())], names=["id", "ref", "packed"])
-
-    def flush(final: bool):
-        nonlocal parts, bodies, rows, size, carried
-        h, kind, key, ids, refs, at = (np.concatenate([p[k] for p in parts]) for k in range(6))
-        body = [x for part in bodies for x in part]
-        parts, bodies, rows, size = [], [], 0, 0
-        left = len(h)
-        if not final and kind[-1] == 0:  # the stretches of the last anchor aren't all there
-            left = int(np.searchsorted(h, h[-1]))
-            parts, bodies = [[x[left:] for x in (h, kind, key, ids, refs, at)]], [body[left:]]
-            rows, size = len(h) - left, sum(len(x or b"") for x in body[left:])
-        h, kind, key, ids, refs, at = (x[:left] for x in (h, kind, key, ids, refs, at))
-        if not left:
-            return None
-        heads = np.flatnonzero(kind == 0)
-        if len(heads):
-            heads = heads[np.concatenate(([True], (h[heads][1:] != h[heads][:-1]) | (key[heads][1:] != key[heads][:-1])))]
-        hh, hk, hid = h[heads], key[heads], ids[heads]
-        texts = [body[k] for k in heads.tolist()]
-        n = np.asarray([len(t) - LENGTH + 1 for t in texts], np.int64)
-        offsets = np.concatenate(([0], np.cumsum(n)))
-        least = np.repeat(hid, n)
-        fresh = np.concatenate(([True], hh[1:] != hh[:-1])) if len(hh) else np.empty(0, bool)
-        group = np.cumsum(fresh) - 1
-        mixed = np.bincount(group)[group] > 1 if len(group) else np.empty(0, bool)
-        if mixed.any():
-            chosen = np.flatnonzero(mixed)
-            buffer = b"".join(texts[k] for k in chosen.tolist())
-            begin = np.concatenate(([0], np.cumsum(n[chosen] + LENGTH - 1)))[:-1]
-            of = np.repeat(np.arange(len(chosen)), n[chosen])
-            step = np.arange(len(of)) - np.repeat(np.concatenate(([0], np.cumsum(n[chosen])))[:-1], n[chosen])
-            order, equal = deep_shallow(buffer, begin[of] + step, group[chosen][of])
+def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (g, id, place, n, body) sorted by g, id, place: (id, place, n) of covered strings.
+
+    Ids rise within a group, so what is smaller has come before: rows are decided as they come, and of a group that goes
+    on only different bodies are held.
+    """
+    rows: list[tuple] = []  # g, id, place, body, whether decided
+    size = 0
+
+    def flush(ends: bool) -> tuple[np.ndarray, ...]:
+        nonlocal rows, size
+        g, ids, place = (np.asarray([r[k] for r in rows], np.int64) for k in range(3))
+        bodies, old = [r[3] for r in rows], np.asarray([r[4] for r in rows], bool)
+        n = np.asarray([len(t) - LENGTH + 1 for t in bodies], np.int64)
+        start = _starts(g)
+        active = np.flatnonzero(np.repeat(np.minimum.reduceat(ids, start) < np.maximum.reduceat(ids, start), _sizes(start, len(g))))
+        found = (np.empty(0, np.int64),) * 3
+        if len(active):
+            buffer, count = b"".join([bodies[k] for k in active.tolist()]), n[active]
+            of = np.repeat(np.arange(len(active)), count)
+            step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            own = ids[active][of]
+            begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+            order, equal = deep_shallow(buffer, begin[of] + step, g[active][of], own)
             run = np.flatnonzero(~equal)
-            smallest = np.minimum.reduceat(hid[chosen][of][order], run)
-            value = np.empty(len(of), np.int64)
-            value[order] = np.repeat(smallest, np.diff(np.append(run, len(order))))
-            least[(offsets[chosen][of] + step)] = value
-        if carried is not None and carried[0] == h[0]:
-            hh, hk, hid = (np.concatenate((x, y)) for x, y in zip((np.full(len(carried[1]), carried[0]), *carried[1:3]), (hh, hk, hid), strict=True))
-            least = np.concatenate((carried[3], least))
-            offsets = np.concatenate((carried[4], carried[4][-1] + offsets[1:]))
-        n = np.diff(offsets)
-        own = hh == h[-1]
-        spot = np.flatnonzero(own)
-        carried = (h[-1], hk[own], hid[own], least[offsets[spot[0]] : offsets[spot[-1] + 1]], offsets[spot[0] : spot[-1] + 2] - offsets[spot[0]]) if len(spot) else None
-        there = np.arange(len(h))
-        name = mix(mix(hh.view(U)) ^ hk.view(U))
-        rank = np.argsort(name)
-        head = rank[np.searchsorted(name[rank], mix(mix(h[there].view(U)) ^ key[there].view(U)))]
-        whole = hid[head] < ids[there]
-        w = there[whole]
-        found = [(ids[w], refs[w], at[w], at[w] + n[head[whole]] + LENGTH - 1)]
-        some = np.flatnonzero(~whole)
-        count = n[head[some]]
-        of = np.repeat(np.arange(len(some)), count)
-        step = np.arange(len(of)) - np.repeat(np.concatenate(([0], np.cumsum(count)))[:-1].astype(np.int64), count)
-        hit = least[offsets[head[some]][of] + step] < ids[there[some]][of]
-        o, s = of[hit], step[hit]
-        if len(o):
-            first = np.concatenate(([True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1)))
-            last = np.append(first[1:], True)
-            p = there[some][o[first]]
-            found.append((ids[p], refs[p], at[p] + s[first], at[p] + s[last] + LENGTH))
-        return out(*(np.concatenate([f[k] for f in found]) for k in range(4)))
+            least = np.empty(len(of), np.int64)
+            least[order] = np.repeat(np.minimum.reduceat(own[order], run), _sizes(run, len(order)))
+            hit = (least < own) & ~old[active][of]
+            o, s = of[hit], step[hit]
+            if len(o):
+                first = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))))
+                p = active[o[first]]
+                found = ids[p], place[p] + (s[first] << 32), _sizes(first, len(o))
+        held: dict[bytes, tuple] = {}
+        if not ends:
+            for r in rows[int(start[-1]) :]:
+                held.setdefault(r[3], (*r[:4], True))
+        rows = list(held.values())
+        size = 0
+        return found
+
+    def out(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _joined(*found)], names=["id", "place", "n"])
 
     for b in batches:
-        if b.num_rows:
-            parts.append([b.column(k).to_numpy() for k in range(6)])
-            bodies.append(b.column(6).to_pylist())
-            rows += b.num_rows
-            size += sum(len(x) for x in bodies[-1] if x)
-            if (rows > FLUSH_ROWS or size > FLUSH_BYTES) and (got := flush(False)) is not None:
-                yield got
-    if parts and (got := flush(True)) is not None:
-        yield got
+        for r in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+            if r[4] is None:
+                yield out(tuple(np.asarray([x], np.int64) for x in r[1:4]))
+                continue
+            rows.append((r[0], r[1], r[2], r[4], False))
+            size += len(r[4])
+            if size > FLUSH_BYTES:
+                yield out(flush(False))
+    if rows:
+        yield out(flush(True))
 
 
 def _union(pairs: np.ndarray) -> np.ndarray:
@@ -383,8 +472,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:
         sizes, spans, left = [], [], []
-        for text, packed in zip(_raw(b.column(1)), b.column(2).to_pylist(), strict=True):
-            pairs = _union(np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2)).tolist() if packed else []
+        for text, gone in zip(_raw(b.column(1)), b.column(2).to_pylist(), strict=True):
+            pairs = _union(np.asarray([(x["place"] >> 32, (x["place"] >> 32) + x["n"] + LENGTH - 1) for x in gone], np.int64)).tolist() if gone else []
             kept, at = [], 0
             for lo, hi in pairs:
                 kept.append(text[at:lo])
@@ -396,37 +485,20 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(left, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _lists(plain: DataFrame) -> DataFrame:
-    """(id, packed): the anchors of each document that others share."""
-    anchors = plain.filter(F.length("text") > 0).select("id", "text").mapInArrow(_anchored, "route long, h long, lo long, hi long")
-    return cut(anchors.repartition("route").sortWithinPartitions("h").select("h", "lo", "hi").mapInArrow(_shared, "id long, packed binary"), "anchors")
-
-
-def _intervals(plain: DataFrame, lists: DataFrame) -> DataFrame:
-    """(id, ref, packed): covered intervals."""
-    held = plain.join(lists.groupBy("id").agg(F.collect_list("packed").alias("lists")), "id")
-    spread = held.select("id", "ref", "text", "lists").mapInArrow(_spread, "h long, kind int, key long, id long, ref long, at long, body binary")
-    return cut(spread.repartition("h").sortWithinPartitions("h", "kind", "key", "id").mapInArrow(_covered, "id long, ref long, packed binary"), "covered")
-
-
-def _let_go(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, spans array<struct<start,end>> (removed, in bytes), kept binary for every row of ``docs``.
 
     Texts are UTF-8 bytes, null is empty; matches never cross documents, and texts under 50 bytes stay. Rows that share
-    an id are one document for the order: they don't remove from one another. Null ids come before all others. What
-    is kept is bytes, as a cut may fall within a character. An empty table gives an empty result.
+    an id are one document for the order: they don't remove from one another; they are told apart by 32 bits of a hash
+    of their texts. Null ids come before all others. What is kept is bytes, as a cut may fall within a character. An empty table
+    gives an empty result.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(id_col, text_col).alias("ref"), F.col(text_col).cast("string").alias("text"))
-    lists = _lists(plain)
-    _let_go(plain)
-    covered = _intervals(plain, lists)
-    _let_go(plain)
-    uncut(lists)
-    intervals = covered.groupBy("id", "ref").agg(F.collect_list("packed").alias("packed"))
-    return plain.join(intervals, ["id", "ref"], "left").select("doc_id", "text", "packed").mapInArrow(_cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.xxhash64(text_col).bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie"), F.col(text_col).cast("string").alias("text"))
+    wanted = plain.filter(F.octet_length("text") >= LENGTH).select("id", "tie", "text").mapInArrow(_requests, "route long, key long, id long, place long, n long")
+    decided = cut(wanted.repartition("route").sortWithinPartitions("route", "key", "id").mapInArrow(_decided, "id long, place long, n long, h long, hot boolean"), "decided")
+    tie = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tie")
+    asked = decided.filter("h IS NOT NULL").groupBy("id", tie).agg(F.collect_list(F.struct("place", "n", "h", "hot")).alias("asked"))
+    bodies = plain.join(asked, ["id", "tie"]).select("id", "tie", "text", "asked").mapInArrow(_bodies, "g long, id long, place long, n long, body binary")
+    sorted_out = cut(bodies.repartition("g").sortWithinPartitions("g", "id", "place").mapInArrow(_ordered, "id long, place long, n long"), "sorted")
+    gone = decided.filter("h IS NULL").select("id", "place", "n").unionByName(sorted_out).groupBy("id", tie).agg(F.collect_list(F.struct("place", "n")).alias("gone"))
+    return plain.join(gone, ["id", "tie"], "left").select("doc_id", "text", "gone").mapInArrow(_cut_out, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
