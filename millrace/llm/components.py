@@ -1,6 +1,6 @@
 """Distributed connected components over a table of links.
 
-Links are first contracted within each partition by union-find (memory: the links of one partition),
+Links are first contracted within each partition by union-find, ``CONTRACTED`` at a time,
 then alternating large-star and small-star rounds run until nothing changes. Every round is written to
 the shared folder, so lineage stays short; links never reach the driver, which sees two numbers a round.
 """
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import cut, uncut
 
+CONTRACTED = 200_000
+
 
 def forest(pairs) -> dict[int, int]:
     """Smallest reachable node for every node in ``pairs``."""
@@ -35,12 +37,17 @@ def forest(pairs) -> dict[int, int]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def pairs():
-        for b in batches:
-            yield from zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-
-    found = [(x, top) for x, top in forest(pairs()).items() if x != top]
-    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([t for _, t in found], pa.int64())], names=["a", "b"])
+    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        found = [(x, top) for x, top in forest(pairs).items() if x != top]
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([t for _, t in found], pa.int64())], names=["a", "b"])
+
+    held: list[tuple[int, int]] = []
+    for b in batches:
+        held += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+        if len(held) >= CONTRACTED:
+            yield out(held)
+            held = []
+    yield out(held)
 
 
 def _to_smallest(links: DataFrame, either_way: bool) -> DataFrame:
