@@ -2,7 +2,7 @@
 
 1. Targets: sources share a budget by weight; no target exceeds a multiple of its source, the excess goes
    to the others by weight.
-2. Words are allotted in equal blocks. Highest quotients v / (2j + 1) over the targets give each source an
+2. Words are allotted in equal blocks, so small that the smallest target has ``FINE`` of them for each of its shards. Highest quotients v / (2j + 1) over the targets give each source an
    integer number of blocks, and over the words of its shards each shard its quota.
 3. A shard is a seeded part of a source: its documents in seeded order are one stream of words, cut into
    blocks. The quota takes blocks from the start of the stream, and, past its end, once more. So at most one
@@ -24,7 +24,7 @@ from millrace.llm.shared import cut
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 BUDGET, MOST = 1.5, 2
-BLOCKS = 1 << 20
+FINE = 256
 SEED = "mix-1"
 
 
@@ -53,9 +53,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``size``: words of the text, 0 for null. Sources by code point, null last, have ``weights`` in turn; a
     null source is one of its own. ``taken`` is in words: whole passes over the document, and a part of one
     for the document where a shard's quota ends. Repeated rows are separate documents; those with equal id
-    and size lie next to each other in the seeded order. An empty table, or one without words, takes 0.
+    lie next to each other in the seeded order, by size and text; rows without an id are placed by their texts. An empty table, or one without words, takes 0.
     """
-    sizes = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("text_hash"), word_count(F.col(text_col)).alias("size")), "sizes")
+    sizes = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.col(id_col).cast("long").cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("own"), word_count(F.col(text_col)).alias("size")), "sizes")
     rank = Window.orderBy(F.asc_nulls_last("source"))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     sources = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(rank) - 1) % len(weights) + 1).cast("int")))
@@ -66,17 +66,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sources = sources.withColumn("level", level)
     sources = sources.withColumn("level", F.coalesce(F.min(F.when(F.col("level") * F.col("weight") <= F.col("most"), F.struct(F.col("most") / F.col("weight"), F.col("level").alias("level")))).over(everything)["level"], F.lit(0.0)))
     sources = sources.withColumn("target", F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")))
-    sources = sources.withColumn("block", F.greatest(F.lit(1), F.floor(F.col("total") / BLOCKS)).cast("long")).withColumn("blocks", F.floor(F.col("total") * budget / F.col("block") + 0.5).cast("long"))
     sources = sources.withColumn("all", F.lit(0)).withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.ceil(F.sqrt("docs")))).cast("long"))
+    fine = F.min(F.when(F.col("target") > 0, F.floor(F.col("target") / (F.col("shards") * FINE)))).over(everything)
+    sources = sources.withColumn("block", F.greatest(F.lit(1), F.coalesce(fine, F.lit(1))).cast("long")).withColumn("blocks", F.floor(F.col("total") * budget / F.col("block") + 0.5).cast("long"))
     sources = cut(_apportioned(sources, ["all"], "source", "target", "blocks").select("source", "source_size", "target", "block", "shards", F.col("quota").alias("source_quota")), "sources")
 
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("own")))
     named = sources.withColumnRenamed("source", "_source")
     placed = sizes.withColumn("key", key).join(named, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "text_hash", "source", "size", "source_size", "target", "block", "source_quota", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % F.col("shards")).alias("shard"), F.substring("key", 9, 24).alias("key"))
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota"))
     quotas = _apportioned(shards, ["source"], "shard", "shard_size", "source_quota").select(F.col("source").alias("s"), F.col("shard").alias("h"), "shard_size", "quota")
     dealt = placed.join(quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")))
-    stream = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size")
+    stream = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size", "text_hash")
     dealt = dealt.withColumn("before", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("words", F.least(F.col("quota") * F.col("block"), F.col("shard_size") * most))
     passes, rest = F.expr("words div nullif(shard_size, 0)"), F.expr("words % nullif(shard_size, 0)")
     taken = F.coalesce(passes * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("before"))), F.lit(0)).cast("long")
@@ -116,15 +117,16 @@ def sql(documents: str = "documents") -> str:
 {name} AS (SELECT o.*, o.lo + coalesce(w.won, 0) AS quota FROM {name}_o o LEFT JOIN {name}_w w ON o.{group} IS NOT DISTINCT FROM w.g_ AND o.{party} IS NOT DISTINCT FROM w.p_)"""
 
     return f"""
-WITH sizes AS MATERIALIZED (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM {documents}),
+WITH sizes AS MATERIALIZED (SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS own, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM {documents}),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs FROM sizes GROUP BY source),
 s1 AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} {weights} END AS weight, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(n_docs) OVER () AS BIGINT) AS docs, source_size * {MOST} AS most FROM s0),
 s2 AS (SELECT *, (total * CAST({BUDGET} AS DOUBLE) - coalesce(sum(most) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM s1 WINDOW f AS (ORDER BY most / weight, source NULLS LAST)),
 s3 AS (SELECT * EXCLUDE (lv), coalesce((SELECT arg_min(lv, most / weight) FROM s2 WHERE lv * weight <= most), 0.0) AS level FROM s2),
-s4 AS (SELECT *, least(CAST(most AS DOUBLE), level * weight) AS target, CAST(greatest(1, floor(total / {BLOCKS})) AS BIGINT) AS block, CAST(greatest(1, ceil(n_docs / ceil(sqrt(docs)))) AS BIGINT) AS shards, 0 AS all_ FROM s3),
-s5 AS (SELECT *, CAST(floor(total * CAST({BUDGET} AS DOUBLE) / block + 0.5) AS BIGINT) AS blocks FROM s4),
+s4 AS (SELECT *, least(CAST(most AS DOUBLE), level * weight) AS target, CAST(greatest(1, ceil(n_docs / ceil(sqrt(docs)))) AS BIGINT) AS shards, 0 AS all_ FROM s3),
+s4b AS (SELECT *, CAST(greatest(1, coalesce(min(floor(target / (shards * {FINE}))) FILTER (target > 0) OVER (), 1)) AS BIGINT) AS block FROM s4),
+s5 AS (SELECT *, CAST(floor(total * CAST({BUDGET} AS DOUBLE) / block + 0.5) AS BIGINT) AS blocks FROM s4b),
 {apportioned("src", "s5", "all_", "source", "target", "blocks").strip()},
-p0 AS (SELECT z.doc_id, z.source, z.size, r.source_size, r.target, r.block, r.quota AS source_quota, r.shards, md5('{SEED}:' || coalesce(CAST(z.doc_id AS VARCHAR), '')) AS k FROM sizes z JOIN src r ON z.source IS NOT DISTINCT FROM r.source),
+p0 AS (SELECT z.doc_id, z.source, z.size, z.own, r.source_size, r.target, r.block, r.quota AS source_quota, r.shards, md5('{SEED}:' || z.own) AS k FROM sizes z JOIN src r ON z.source IS NOT DISTINCT FROM r.source),
 placed AS (SELECT * EXCLUDE (k), CAST('0x' || substr(k, 1, 8) AS BIGINT) % shards AS shard, substr(k, 9, 24) AS key FROM p0),
 h0 AS (SELECT source, shard, CAST(sum(size) AS BIGINT) AS shard_size, any_value(source_quota) AS source_quota FROM placed GROUP BY source, shard),
 {apportioned("sha", "h0", "source", "shard", "shard_size", "source_quota").strip()},
