@@ -4,15 +4,18 @@ A message is ``<|im_start|>role<|im_sep|>text<|im_end|>`` and a newline. Adjacen
 message; ``<|im_more|>`` stands between their texts, so that single turns can be read back. In roles and
 texts a backslash is doubled and ``<|`` becomes ``<\\|``: no marker can occur in them, and dropping the
 first of every backslash pair undoes it.
+
+Turns are collected as structs and sorted, neighbours of one role merged by array aggregation, and messages concatenated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, SEP, MORE, CLOSE = "<|im_start|>", "<|im_sep|>", "<|im_more|>", "<|im_end|>\n"
 LEARNED = "assistant"
+PART = 256
 
 
 def escape(text: Column) -> Column:
@@ -27,25 +30,63 @@ def _literally(marker: str) -> str:
     return marker.replace("|", r"\|").replace("\n", r"\n")
 
 
+def merged_turns(turns: Column) -> Column:
+    """array<struct<role,texts>>: the messages of sorted turns, a fold that appends to the last message or opens one.
+
+    Turns are folded ``PART`` at a time and the parts then folded likewise, so that the arrays copied by each step stay short.
+    """
+    none = F.array().cast("array<struct<role:string,texts:array<string>>>")
+
+    def onto(done: Column, new: Column) -> Column:
+        """Messages after messages; the first of ``new`` joins the last of ``done`` if one role says both."""
+        last, first = F.element_at(done, -1), F.element_at(new, 1)
+        joint = F.array(F.struct(last["role"].alias("role"), F.concat(last["texts"], first["texts"]).alias("texts")))
+        return F.when((F.size(done) == 0) | (F.size(new) == 0), F.concat(done, new)).when(last["role"] == first["role"], F.concat(F.slice(done, 1, F.size(done) - 1), joint, F.slice(new, 2, F.size(new)))).otherwise(F.concat(done, new))
+
+    def one(turn: Column) -> Column:
+        return F.array(F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts")))
+
+    return F.aggregate(_parts(turns), none, lambda done, part: onto(done, F.aggregate(part, none, lambda own, turn: onto(own, one(turn)))))
+
+
+def _parts(values: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / PART).cast("int")), lambda k: F.slice(values, k * PART + 1, F.lit(PART)))
+
+
+def running(sizes: Column) -> Column:
+    """Sums of an array<int> up to each element: within parts, then the parts' sums added."""
+    none = F.array().cast("array<long>")
+
+    def after(sums: Column, n: Column) -> Column:
+        return F.concat(sums, F.array(F.when(F.size(sums) == 0, F.lit(0).cast("long")).otherwise(F.element_at(sums, -1)) + n))
+
+    own = F.transform(_parts(sizes), lambda part: F.aggregate(part, none, after))
+    before = F.aggregate(own, F.array(F.lit(0).cast("long")), lambda sums, part: after(sums, F.element_at(part, -1)))
+    together = F.struct(own.alias("own"), before.alias("before"))
+    return F.transform(F.array(together), lambda t: F.flatten(F.transform(t["own"], lambda part, k: F.transform(part, lambda n: n + F.get(t["before"], k)))))[0]
+
+
 def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row a conversation: conv_id, formatted string, loss_spans array<struct<start,end>>.
 
     Turns are sorted by turn, then role, then text, so ties and repeated rows have one order and each row
     stays a turn. A null role or text is empty; a null turn comes first; rows with a null conversation id
     form one conversation. Spans are code-point offsets (from 0, end exclusive) of assistant texts as they
-    stand in ``formatted``, escaped. An empty table gives an empty result. A conversation is one string, so
-    one task holds it; its size is that of the longest conversation, not of the table.
+    stand in ``formatted``, escaped. Other columns aren't read. An empty table gives an empty result. A conversation is one
+    string, so one task holds it; its size is that of the longest conversation, not of the table.
     """
-    turns = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    body, head = escape(F.col("text")), F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP))
-    before = F.lag("role").over(order)
-    lead = F.when(before.isNull(), head).when(before == F.col("role"), F.lit(MORE)).otherwise(F.concat(F.lit(CLOSE), head))
-    pieces = turns.select("conv_id", (F.col("role") == LEARNED).alias("learned"), F.row_number().over(order).alias("at"), lead.alias("lead"), body.alias("body"))
-    pieces = pieces.withColumn("end", F.sum(F.length("lead") + F.length("body")).over(Window.partitionBy("conv_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
-    gathered = pieces.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "learned", F.concat("lead", "body").alias("piece"), (F.col("end") - F.length("body")).alias("start"), "end"))).alias("turns"))
-    spans = F.transform(F.filter("turns", lambda t: t["learned"]), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end")))
-    return gathered.select("conv_id", F.concat(F.array_join(F.transform("turns", lambda t: t["piece"]), ""), F.lit(CLOSE)).alias("formatted"), spans.alias("loss_spans"))
+    turns = rows.select(F.col(conv_col).alias("conv_id"), F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("one"))
+    merged = turns.groupBy("conv_id").agg(merged_turns(F.sort_array(F.collect_list("one"))).alias("messages"))
+
+    def pieces(message: Column, k: Column) -> Column:
+        head = F.concat(F.when(k > 0, CLOSE).otherwise(""), F.lit(START), escape(message["role"]), F.lit(SEP))
+        return F.transform(message["texts"], lambda text, at: F.struct((message["role"] == LEARNED).alias("learned"), F.when(at > 0, MORE).otherwise(head).alias("lead"), escape(text).alias("body")))
+
+    cut_up = merged.select("conv_id", F.flatten(F.transform("messages", pieces)).alias("pieces"))
+    ended = cut_up.select("conv_id", "pieces", running(F.transform("pieces", lambda p: F.length(p["lead"]) + F.length(p["body"]))).alias("ends"))
+    placed = F.zip_with("pieces", "ends", lambda p, end: F.struct(p["learned"].alias("learned"), (end - F.length(p["body"])).alias("start"), end.alias("end")))
+    spans = F.transform(F.filter(placed, lambda p: p["learned"]), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end")))
+    return ended.select("conv_id", F.concat(F.array_join(F.transform("pieces", lambda p: F.concat(p["lead"], p["body"])), ""), F.lit(CLOSE)).alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
