@@ -6,15 +6,17 @@ can stand after the last token of the prefix of length s, that is, if no merge o
 crossed their border. Following the stored last tokens back from the end of the word gives the ids.
 The cost is linear in the matches; no priority queue of merges is kept.
 
-The vocabulary file is read once on the driver and broadcast; its size doesn't depend on the data.
+The vocabulary file is read once on the driver, and the encoder made from it broadcast; its size doesn't depend on the data.
 """
 
 from __future__ import annotations
 
 import json
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -24,13 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from millrace.llm.shared import released
+
 SUFFIX, END = "</w>", "\n"
 #: Fixed values of the tokenizer's normalizer and pre-tokenizer: white space, and how words are found.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]+"
 EARLY = 0x0378
-CACHE = 150_000
-SLICE = 3 << 20
+#: Bytes that known words may take, entries of known pairs and of transitions that weren't in the trie, and code points encoded at once.
+CACHE_BYTES, PAIRS, MISSED = 40 << 20, 200_000, 100_000
+SLICE = 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -66,7 +71,7 @@ def early(pattern: str) -> str:
 class SuffixAutomaton:
     """For every prefix of a word, the vocabulary tokens that are its suffixes, longest first.
 
-    A trie with suffix links; a missing transition follows the links once and is then stored.
+    A trie with suffix links; a missing transition follows the links once and is then stored, until there are too many.
     """
 
     def __init__(self, keys: dict[str, int]):
@@ -94,7 +99,7 @@ class SuffixAutomaton:
                     self.ending[to] = (((own[to], depth[to]),) if own[to] >= 0 else ()) + self.ending[self.link[to]]
                     below.append(to)
             level = below
-        self.tables = self.next, self.ending
+        self.stored: list[tuple[int, str]] = []
 
     def _follow(self, at: int, letter: str) -> int:
         while (to := self.next[at].get(letter)) is None:
@@ -104,7 +109,12 @@ class SuffixAutomaton:
         return to
 
     def step(self, at: int, letter: str) -> int:
+        if len(self.stored) >= MISSED:
+            for state, missed in self.stored:
+                del self.next[state][missed]
+            self.stored.clear()
         to = self.next[at][letter] = self._follow(at, letter)
+        self.stored.append((at, letter))
         return to
 
 
@@ -147,9 +157,16 @@ class WordBpe:
         self.early_word = re.compile(early(WORD))
         self.late = regex.compile(f"[{chr(EARLY)}-\U0010ffff]")
         self.unknown = regex.compile(f"[{unassigned()}]")
-        self.library = Tokenizer.from_str(definition)
+        self.definition = definition
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.new: dict[str, tuple[int, ...]] = {}
+        self.held = 0
+        self._right.clear()
+        self._left.clear()
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_str(self.definition)
 
     def _spine(self, i: int, side: int) -> list[tuple[int, int]]:
         """(token, id of the merge that consumes it) along one edge of a token's merge tree."""
@@ -189,8 +206,10 @@ class WordBpe:
     def compatible(self, a: int, b: int) -> bool:
         key = a << 20 | b
         if (known := self.fits.get(key)) is None:
-            if len(self.fits) > 400_000:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
+                self._right.clear()
+                self._left.clear()
             known = self.fits[key] = self.crossing(a, b) == 1 << 40
         return known
 
@@ -200,7 +219,7 @@ class WordBpe:
         In sorted order neighbours share prefixes, and what is known of a shared prefix is kept.
         """
         ordered = sorted((w if w.isascii() and w.isprintable() else "".join([self.letter[chr(b)] for b in w.encode("utf-8")]), w) for w in words)
-        compatible, (step, ending), miss = self.compatible, self.matches.tables, self.matches.step
+        compatible, step, ending, miss = self.compatible, self.matches.next, self.matches.ending, self.matches.step
         length, new = self.length, self.new
         last, states, before = [-1], [0], ""
         for letters, word in ordered:
@@ -228,6 +247,7 @@ class WordBpe:
                 n -= length[i]
             out.reverse()
             new[word] = tuple(out)
+            self.held += 250 + len(word) + 8 * len(out)
             before = letters
             del last[len(letters) + 1 :], states[len(letters) + 1 :]
 
@@ -251,8 +271,8 @@ class WordBpe:
                 split.append([[p] if p in self.special else self._words(p) for p in self.cut.split(text)])
             else:
                 split.append([self._words(text)])
-        if len(self.new) >= CACHE:
-            self.new = {}
+        if self.held >= CACHE_BYTES:
+            self.new, self.held = {}, 0
         new = self.new
         missing = {w for pieces in split for words in pieces for w in words if w not in new}
         self._fill(missing)
@@ -272,18 +292,6 @@ class WordBpe:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-_made: dict[int, WordBpe] = {}
-
-
-def _model(definition: str) -> WordBpe:
-    """Once for each Python worker."""
-    key = hash(definition)
-    if key not in _made:
-        _made.clear()
-        _made[key] = WordBpe(definition)
-    return _made[key]
-
-
 def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids array<int>, decoded string for every row of ``docs``.
 
@@ -291,10 +299,12 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id
     repeated ids and ties need no rule, a null id is returned as it is, and other columns aren't read.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(WordBpe(f.read()), pickle.HIGHEST_PROTOCOL))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(shared.value)
+        model = None  # a task without rows needs none; it goes with the task, so that workers don't keep it
+
 
         def made(ids, tokens, sizes, texts):
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
@@ -302,6 +312,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(offsets, flat), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
         for b in batches:
+            model = model or pickle.loads(shared.value)
             ids, texts = b.column(0).to_pylist(), b.column(1)
             lo = 0
             while lo < len(ids):

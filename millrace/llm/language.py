@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, released
 
 BITS = 16
 FEATURES = 1 << BITS
@@ -26,6 +26,9 @@ SLICE = 1 << 20
 UNKNOWN = "und"
 #: Rows of the sample that weights and temperature are fitted on, over all languages.
 SAMPLE_ROWS = 6000
+#: Weights are broadcast, 256 KB for each language; a table with more distinct labels is refused.
+MOST_LANGUAGES = 1000
+DRAW = 1 << 62
 EPOCHS, ALPHA, BETA, LASSO, RIDGE = 3, 0.5, 1.0, 0.02, 0.01
 
 _letters: list[np.ndarray] = []
@@ -88,6 +91,7 @@ def _bounds(text_of: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(text_of, np.arange(n + 1))
 
 
+@released
 def _learn_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row of document frequencies for the task (lang null), and the features of sampled rows."""
     df = np.zeros(FEATURES + 1, np.int64)
@@ -207,11 +211,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """The model learned from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     training = plain.filter(~_held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in training.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in training.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if sizes:
         quota = max(1, sample_rows // len(sizes))
-        chance = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, quota / n))])
-        picked = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 20)) < chance[F.col("lang")] * (1 << 20)
+        chance = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, quota / n) * DRAW))])
+        picked = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(DRAW)) < chance[F.col("lang")]
         passed = cut(training.select("text", "lang", picked.alias("picked")).mapInArrow(_learn_pass, "lang string, features binary, counts binary, n long"), "language")
         sampled = [tuple(r) for r in passed.filter("lang IS NOT NULL").select("lang", "features", "counts", "n").toLocalIterator()]
         sums = passed.filter("lang IS NULL").select("features", "n", F.pmod(F.xxhash64("features", "n"), F.lit(64)).alias("salt")).groupBy("salt").applyInArrow(_add, "features binary, n long")
@@ -226,10 +232,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     Learns from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``; rows with a null id are
     held out too. Weights and temperature come from about ``sample_rows`` rows in all, equal parts for each language, picked
     by a hash of id and text; document frequencies count every training row. A text that is null or has no letter is
-    ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions.
+    ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions; of languages with
+    equal scores the first by name is predicted. Other columns aren't read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, sample_rows))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, scores = shared.value.predict(b.column(2).to_pylist())
@@ -243,11 +251,13 @@ def keep_identified(docs: DataFrame, text_col: str = "text", least: float = 0.35
     """The rows of ``docs`` whose text has a language with a score of ``least`` or more, with its columns.
 
     Rejected are texts that are null or have no letter, and those that fit no language: with four languages a text
-    that says nothing scores 0.25.
+    that says nothing scores 0.25. Rows are judged one by one, so repeated ones share their fate and ties need no rule;
+    a null in any other column than the text plays no part, and an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text_col=text_col, **options))
     at = docs.columns.index(text_col)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, scores = shared.value.predict(b.column(at).to_pylist())

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import cut, uncut
+from millrace.llm.shared import cut, released, uncut
 from millrace.llm.words import U, mix, shingle_sets
 
 BUCKETS, MANTISSA, ROWS = 256, 10, 5
@@ -105,6 +105,7 @@ def plausible(x, nx, y, ny, threshold: float) -> np.ndarray:
     return sizes & (j >= threshold - 5 * np.sqrt(threshold * (1 - threshold) * unseen / np.maximum(used, 1)) - 1.5 / np.maximum(used, 1))
 
 
+@released
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n, one, two, regs = [], [], [], []
@@ -116,6 +117,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "n", "s1", "s2", "regs"])
 
 
+@released
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, 1000):
@@ -130,6 +132,7 @@ def _rows(column: pa.Array) -> np.ndarray:
 
 
 def _estimated(threshold: float):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
@@ -140,6 +143,7 @@ def _estimated(threshold: float):
 
 
 def _verified(num: int, den: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = [linked(x, y, num, den) for x, y in zip(shingle_sets(b.column(2).to_pylist()), shingle_sets(b.column(3).to_pylist()), strict=True)]
@@ -149,6 +153,7 @@ def _verified(num: int, den: int):
     return run
 
 
+@released
 def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, whole, body): the sorted shingle hashes, or of larger sets the registers."""
     for b in batches:

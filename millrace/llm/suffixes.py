@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, released
 from millrace.llm.words import _BYTE, U, mix, powers
 
 LENGTH, GRAM = 50, 16
@@ -141,6 +141,7 @@ def _joined(ids: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return ids[first], (at[first] << 32) | tie[first], reach[last] - at[first]
 
 
+@released
 def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(route, key, id, place, n): a stretch with its anchor as route, or, key null, strings known to be covered."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -180,6 +181,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = FLUSH_ROWS) -> Iter
         yield pa.Table.from_batches(held)
 
 
+@released
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of requests sorted by (route, key, id): (id, place, n, h, hot). h null: covered; else to be sorted with others of h.
 
@@ -235,6 +237,7 @@ def _ended(tables: Iterator[pa.Table]) -> Iterator[pa.Table | None]:
     yield None
 
 
+@released
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (id, tie, text, asked): (g, id, place, n, body) for each stretch, and for each string of those that are hot.
 
@@ -403,6 +406,7 @@ def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, who: np.n
     return order, equal
 
 
+@released
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (g, id, place, n, body) sorted by g, id, place: (id, place, n) of covered strings.
 
@@ -468,6 +472,7 @@ def _union(pairs: np.ndarray) -> np.ndarray:
     return np.stack((pairs[new, 0], np.append(ends[np.flatnonzero(new)[1:] - 1], ends[-1])), axis=1)
 
 
+@released
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:

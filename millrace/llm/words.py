@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 U = np.uint64
-SLICE = 2 << 20
+SLICE = 1 << 20
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=U) * U(2) + U(1)
 _BYTE[65:91] = _BYTE[97:123]
@@ -20,7 +20,8 @@ _BASE = int(_rng.integers(1, 2**62)) * 4 + 1
 _AT = _rng.integers(1, 2**63, 16, dtype=U) * U(2) + U(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[str, np.ndarray] = {}
+_powers: list[np.ndarray] = []
+_KEPT = SLICE * 5 // 4
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,14 +32,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        size = 1 << max(n, SLICE).bit_length()
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, U(base & (2**64 - 1)))
-            steps[0] = U(1)
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"][:n], _powers["down"][:n]
+    """Powers of the base and of its inverse, modulo 2**64. Those for usual slices are kept, longer ones made anew."""
+
+    def made(size: int) -> tuple[np.ndarray, ...]:
+        steps = [np.full(size, U(base & (2**64 - 1))) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
+        for s in steps:
+            s[0] = U(1)
+            np.multiply.accumulate(s, out=s)
+        return tuple(steps)
+
+    if n > _KEPT:
+        return made(n)
+    if not _powers:
+        _powers.extend(made(_KEPT))
+    return _powers[0][:n], _powers[1][:n]
 
 
 def slices(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, released
 
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -402,6 +402,7 @@ def _host(url: str | None) -> str:
     return m[1].lower().rpartition("@")[2] if m else ""
 
 
+@released
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Wrappers for each host among the pages of the task, given out whenever many are held."""
     held: dict[str, dict[str, list]] = {}
@@ -507,6 +508,7 @@ def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["host", "roles"])
 
 
+@released
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict[str | None, dict[str, dict]] = {None: {}}
     for b in batches:
