@@ -8,7 +8,7 @@ their check hashes. Subtracting the sketches of two versions cancels what they s
 that are alone in a cell, which uncovers others, until the differing digests of both sides are recovered.
 
 The fingerprint is a table of fixed size. Where the difference of two fingerprints doesn't peel, larger ones
-are made: digests are dealt to groups of about eight by their bits, and each group has a table that grows from
+are made: digests are dealt to groups of eight at most, on average, by their bits, and each group has a table that grows from
 attempt to attempt. The work grows with the number of paragraphs, and the last attempt, a plain comparison of one
 group's digests, is reached with a probability below 1e-6 a group.
 
@@ -36,13 +36,20 @@ def digests(text: Column, paragraph: str = PARAGRAPH) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
+def _hashed(keys: str, size: int) -> str:
+    """SQL for the digests with their check hash and, for a table of ``size`` cells a row, the cell of each row."""
+    places = ", ".join(f"'p{r}', shiftrightunsigned(h, {9 * r}) & {size - 1}" for r in range(ROWS))
+    return f"transform({keys}, q -> transform(array(xxhash64({size}, q)), h -> named_struct('q', q, 'x', xxhash64(q), {places}))[0])"
+
+
 def _cells(keys: str, size: int) -> str:
     """SQL for the table of ``keys`` (array<bigint>): n, k, c for every cell, row after row."""
-    falls = f"(shiftrightunsigned(xxhash64({size}, q), cast(i div {size} as int) * 9) & {size - 1}) = i % {size}"
-    return (
-        f"transform(sequence(0, {ROWS * size - 1}), i -> aggregate(filter({keys}, q -> {falls}), named_struct('n', 0, 'k', 0L, 'c', 0L),"
-        " (s, q) -> named_struct('n', s.n + 1, 'k', s.k ^ q, 'c', s.c ^ xxhash64(q))))"
+    row = (
+        "transform(sequence(0, {last}), i -> aggregate(filter(t, s -> s.p{r} = i), named_struct('n', 0, 'k', 0L, 'c', 0L),"
+        " (u, s) -> named_struct('n', u.n + 1, 'k', u.k ^ s.q, 'c', u.c ^ s.x)))"
     )
+    rows = ", ".join(row.format(last=size - 1, r=r) for r in range(ROWS))
+    return f"transform(array({_hashed(keys, size)}), t -> concat({rows}))[0]"
 
 
 def _subtracted(a: str, b: str) -> str:
@@ -51,9 +58,13 @@ def _subtracted(a: str, b: str) -> str:
 
 def _peeled(difference: str, size: int, rounds: int) -> str:
     """SQL for struct(mine, theirs) numbers of recovered digests, or null if the table doesn't empty."""
-    falls = f"(shiftrightunsigned(xxhash64({size}, q.k), cast(i div {size} as int) * 9) & {size - 1}) = i % {size}"
-    alone = "array_distinct(transform(filter(t.d, x -> abs(x.n) = 1 AND xxhash64(x.k) = x.c), x -> named_struct('k', x.k, 'n', x.n)))"
-    without = f"transform(t.d, (x, i) -> aggregate(filter(p, q -> {falls}), x, (s, q) -> named_struct('n', s.n - q.n, 'k', s.k ^ q.k, 'c', s.c ^ xxhash64(q.k))))"
+    places = ", ".join(f"'p{r}', {r * size} + (shiftrightunsigned(h, {9 * r}) & {size - 1})" for r in range(ROWS))
+    alone = (
+        "transform(array_distinct(transform(filter(t.d, x -> abs(x.n) = 1 AND xxhash64(x.k) = x.c), x -> named_struct('k', x.k, 'n', x.n))),"
+        f" x -> transform(array(xxhash64({size}, x.k)), h -> named_struct('k', x.k, 'n', x.n, 'c', xxhash64(x.k), {places}))[0])"
+    )
+    falls = " OR ".join(f"q.p{r} = i" for r in range(ROWS))
+    without = f"transform(t.d, (x, i) -> aggregate(filter(p, q -> {falls}), x, (s, q) -> named_struct('n', s.n - q.n, 'k', s.k ^ q.k, 'c', s.c ^ q.c)))"
     counted = "t.mine + size(filter(p, q -> q.n = 1)), 'theirs', t.theirs + size(filter(p, q -> q.n = -1))"
     step = f"transform(array({alone}), p -> if(size(p) = 0, t, named_struct('d', {without}, 'mine', {counted})))[0]"
     return (
@@ -62,17 +73,19 @@ def _peeled(difference: str, size: int, rounds: int) -> str:
     )
 
 
-def _grouped(keys: str, groups: str) -> str:
-    return f"transform(sequence(0, {groups} - 1), g -> filter({keys}, q -> (shiftrightunsigned(q, 40) & ({groups} - 1)) = g))"
+def _grouped(keys: str, levels: str) -> str:
+    """SQL for the digests dealt to groups, eight at each level, so that the work grows with their number and its logarithm."""
+    eight = "transform(sequence(0, 7), g -> filter(ks, q -> (shiftrightunsigned(q, 37 + 3 * l) & 7) = g))"
+    return f"aggregate(slice(sequence(1, 8), 1, {levels}), array({keys}), (t, l) -> flatten(transform(t, ks -> {eight})))"
 
 
 def differences(a: str, b: str, cells_a: str, cells_b: str) -> str:
     """SQL for struct(mine, theirs): digests that only one of two arrays has, through their sketches."""
     attempts = ", ".join(_peeled(_subtracted(_cells("x", s), _cells("y", s)), s, r) for s, r in LADDER)
     one = f"coalesce({attempts}, named_struct('mine', size(array_except(x, y)), 'theirs', size(array_except(y, x))))"
-    groups = f"cast(pow(2, ceil(log2(greatest(size({a}), size({b}), {PER_GROUP}) / {PER_GROUP}))) as int)"
+    levels = f"cast(ceil(log2(greatest(size({a}), size({b}), {PER_GROUP}) / {PER_GROUP}) / 3) as int)"
     larger = (
-        f"aggregate(zip_with({_grouped(a, groups)}, {_grouped(b, groups)}, (x, y) -> {one}), named_struct('mine', 0, 'theirs', 0),"
+        f"aggregate(zip_with({_grouped(a, levels)}, {_grouped(b, levels)}, (x, y) -> {one}), named_struct('mine', 0, 'theirs', 0),"
         " (s, d) -> named_struct('mine', s.mine + d.mine, 'theirs', s.theirs + d.theirs))"
     )
     return f"coalesce({_peeled(_subtracted(cells_a, cells_b), CELLS, ROUNDS)}, {larger})"
