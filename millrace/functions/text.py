@@ -32,11 +32,15 @@ def decoded(content: Column) -> Column:
 def json_record_text(line: Column) -> Column:
     """What a JSONL record contributes: ``text``, else ``content``, else the record as it stands; a line that is no JSON, itself.
 
-    An empty string, 0, false or null counts as missing, as in languages with truth values of this kind.
+    An empty string, list or object, the number 0, false and null count as missing; the strings "0", "false" and "null" are there.
+    A record that names a key twice is read by plain paths, without types.
     """
+    clean = strip(line)
+    record = F.try_parse_json(clean)
 
-    def present(value: Column) -> Column:
-        return F.when(~value.isin("", "0", "false", "null"), value)
+    def present(name: str) -> Column:
+        value, kind = F.get_json_object(clean, f"$.{name}"), F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant"))
+        falsy = F.when(kind == "BOOLEAN", value == "false").when(kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE"), value.try_cast("double") == 0).otherwise(value.isin("", "[]", "{}"))
+        return F.when(~F.coalesce(falsy, F.lit(False)), value)
 
-    clean = strip(line)
-    return F.coalesce(present(F.get_json_object(clean, "$.text")), present(F.get_json_object(clean, "$.content")), clean)
+    return F.coalesce(present("text"), present("content"), clean)

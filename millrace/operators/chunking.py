@@ -5,38 +5,54 @@ Memory is bounded by one text. The fold is a built-in higher-order function, so
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.fixed import MAX_CHARS, MIN_CHARS
-from millrace.functions.text import paragraphs
 
 GAP = "\n\n"
+BLANK = re.compile(r"\n\s*\n+")
+
+
+def packed(text: str | None, least: int, most: int) -> list[str] | None:
+    """Paragraphs in groups: a fold over their lengths gives the borders, and each group is joined once."""
+    if text is None:
+        return None
+    parts = [p for p in map(str.strip, BLANK.split(text)) if p]
+    if not parts:
+        return []
+    borders, size = [0], 0  # starts of groups; length of the open one, 0 if none is
+    for k, p in enumerate(parts):
+        if size and size + len(GAP) + len(p) > most:
+            borders.append(k)
+            size = 0
+        size += len(p) + (len(GAP) if size else 0)
+        if size >= least and size >= most:
+            borders.append(k + 1)
+            size = 0
+    if not size:
+        borders.pop()
+    elif len(borders) > 1 and size < least:
+        borders.pop()
+    return [GAP.join(parts[a:b]) for a, b in zip(borders, [*borders[1:], len(parts)], strict=True)]
 
 
 def chunks(text: Column, least: int = MIN_CHARS, most: int = MAX_CHARS) -> Column:
     """array<string>: paragraphs packed up to ``most`` code points.
 
     A paragraph is never split, so one that is longer stands alone; a rest under ``least`` joins the chunk before it. A null
-    text gives null, a blank one no chunk.
+    text gives null, a blank one no chunk. A fold over strings of growing length is dear as a Spark expression, so
+    this one runs in Arrow batches.
     """
-    empty = F.struct(F.array().cast("array<string>").alias("full"), F.lit("").alias("open"))
-
-    def close(full: Column, open_: Column) -> Column:
-        ripe = (F.length(open_) >= least) & (F.length(open_) >= most)
-        return F.struct(F.when(ripe, F.concat(full, F.array(open_))).otherwise(full).alias("full"), F.when(ripe, "").otherwise(open_).alias("open"))
-
-    def step(state: Column, paragraph: Column) -> Column:
-        longer = F.when(state["open"] == "", paragraph).otherwise(F.concat(state["open"], F.lit(GAP), paragraph))
-        over = (F.length(longer) > most) & (state["open"] != "")
-        return close(F.when(over, F.concat(state["full"], F.array(state["open"]))).otherwise(state["full"]), F.when(over, paragraph).otherwise(longer))
 
-    def finish(state: Column) -> Column:
-        n = F.size(state["full"])
-        glued = F.concat(F.slice(state["full"], 1, n - 1), F.array(F.concat(F.element_at(state["full"], -1), F.lit(GAP), state["open"])))
-        return F.when(state["open"] == "", state["full"]).when((n > 0) & (F.length(state["open"]) < least), glued).otherwise(F.concat(state["full"], F.array(state["open"])))
+    @F.arrow_udf("array<string>")
+    def pack(texts: pa.Array) -> pa.Array:
+        return pa.array([packed(t, least, most) for t in texts.to_pylist()], pa.list_(pa.string()))
 
-    return F.aggregate(paragraphs(text), empty, step, finish)
+    return pack(text)
 
 
 def chunks_sql(rows: str, key: str, text: str, white: str, least: int = MIN_CHARS, most: int = MAX_CHARS) -> str:

@@ -6,7 +6,7 @@ number of failures and its leases since: all of them aggregates with partial sum
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
@@ -42,7 +42,12 @@ def status_counts(items: DataFrame) -> DataFrame:
     return items.rollup("status").agg(F.count("*").alias("n")).select(F.coalesce("status", F.lit("total")).alias("status"), "n")
 
 
-def cumulative_failures(log: DataFrame) -> DataFrame:
-    """The log with each item's failures so far."""
-    so_far = Window.partitionBy("item").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    return log.withColumn("attempts", F.sum((F.col("message") == "failed").cast("long")).over(so_far))
+
+def leased(items: DataFrame, owner: str, now: Column, n: int = fixed.LEASE_ITEMS, ttl: int = fixed.LEASE_SECONDS) -> DataFrame:
+    """What a worker is given: the first ``n`` pending items with their new status, owner and end of the lease."""
+    return lease(items, n).withColumn("status", F.lit("leased")).withColumn("owner", F.lit(owner)).withColumn("expires", now + F.make_interval(secs=F.lit(ttl)))
+
+
+def unknown_completions(log: DataFrame, items: DataFrame) -> DataFrame:
+    """Completions of items that the manifest doesn't have."""
+    return log.filter("message <> 'lease'").join(items.select("item").distinct(), "item", "left_anti")

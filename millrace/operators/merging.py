@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
@@ -42,11 +42,6 @@ def assign_splits(rows: DataFrame, key: str, test: int = fixed.TEST_ROWS, valida
     return bucketed.join(F.broadcast(ranked), F.col(key) == F.col("_key"), "left").withColumn("split", split).drop("_key", "_at")
 
 
-def below(key: Column, per_million: int) -> Column:
-    """The stable alternative to ranks: whether the bucket of ``key`` lies under a threshold."""
-    return bucket(key) < per_million
-
-
 def shard_numbers(rows: DataFrame, writer: str, order: list[str], size: int = fixed.ROWS_PER_SHARD) -> DataFrame:
     """``rows`` with the number of the writer's shard they go to, in order."""
     at = F.row_number().over(Window.partitionBy(writer).orderBy(*order))

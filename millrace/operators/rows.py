@@ -44,7 +44,8 @@ def row_errors(c=F.col) -> Column:
     """array<string>: what is wrong with a dataset row; empty if nothing is."""
 
     def known(name: str, values: tuple[str, ...]) -> Column:
-        return F.when(~c(name).isin(*values) | c(name).isNull(), F.lit(f"{name} not in {', '.join(values)}"))
+        said = F.coalesce(F.concat(F.lit("'"), c(name), F.lit("'")), F.lit("None"))
+        return F.when(~c(name).isin(*values) | c(name).isNull(), F.concat(F.lit(f"{name}="), said, F.lit(f" not in {values}")))
 
     mcq = c("type") == "mcq"
     few = c("choices").isNull() | (F.size("choices") < 2)
@@ -58,7 +59,7 @@ def row_errors(c=F.col) -> Column:
         F.when(c("instruction").isNull() | c("answer").isNull(), "null_field"),
         F.when(strip(c("instruction")) == "", "instruction is empty"),
         F.when((strip(c("answer")) == "") & (c("type") != "dpo"), "answer is empty"),
-        F.when(c("modality").isin("image", "audio") & (F.coalesce(c("media_path"), F.lit("")) == ""), "modality requires media_path"),
+        F.when(c("modality").isin("image", "audio") & (F.coalesce(c("media_path"), F.lit("")) == ""), F.concat(F.lit("modality="), c("modality"), F.lit(" requires media_path"))),
     )
     return F.filter(found, lambda e: e.isNotNull())
 

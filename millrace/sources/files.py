@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.fixed import EXTENSIONS
+from millrace.functions.fixed import EXTENSIONS, ROW_DDL
 from millrace.functions.text import decoded, json_record_text, strip
 
 
@@ -52,3 +52,20 @@ def file_text(path: Column, content: Column) -> Column:
     whole = decoded(content)
     lines = F.filter(F.split(whole, "\n", -1), lambda x: strip(x) != "")
     return F.when(extension(path) == ".jsonl", F.array_join(F.transform(lines, json_record_text), "\n\n")).otherwise(whole)
+
+
+def read_shards(spark: SparkSession, root: str, ddl: str = ROW_DDL) -> DataFrame:
+    """Rows of all ``*/part-*.jsonl`` below ``root`` with worker, part and line, by which they are in path and line order.
+
+    A shard has a bounded number of rows, so each is one task's row at first. Lines that are blank or hold no JSON object give no row.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.jsonl").option("recursiveFileLookup", True).load(root)
+    names = F.split("path", "/")
+    lines = found.select(F.element_at(names, -2).alias("worker"), F.element_at(names, -1).alias("part"), F.posexplode(F.split(decoded(F.col("content")), "\n", -1)).alias("line", "value"))
+    rows = lines.filter(strip(F.col("value")) != "").withColumn("row", F.from_json("value", ddl))
+    return rows.filter(F.col("row").isNotNull()).select("row.*", "worker", "part", "line")
+
+
+def fetch_counts(batches: DataFrame) -> DataFrame:
+    """Batches and rows that came, from rows with their ``batch_id``."""
+    return batches.agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("rows"))

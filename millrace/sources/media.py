@@ -34,6 +34,11 @@ def transcribe(audio: DataFrame, model: Callable[[], Callable[[bytes], tuple[lis
     return made.unionByName(cache.join(audio.select("item_id"), "item_id", "left_semi").select(*made.columns)) if cache is not None else made
 
 
+def store_transcripts(transcripts: DataFrame, path: str) -> None:
+    """Append transcripts to the cache, so that a later run reads them instead of asking the model."""
+    transcripts.select("item_id", "text", "detected_language", "source").write.mode("append").json(path)
+
+
 def encoded_image(content: Column, longest: int = 1536, quality: int = 90) -> Column:
     """A JPEG of at most ``longest`` pixels a side, never enlarged, in base64. Needs Pillow on the executors."""
 

@@ -58,6 +58,9 @@ def test_json_records(spark):
     lines = ['{"text": "a"}', '{"text": "", "content": "b"}', "{}", "not json", '{"text": null}', "[1]", '{"text": 0, "content": "c"}', '{"text": 5}']
     df = spark.createDataFrame([(x,) for x in lines], "t string")
     assert [r[0] for r in df.select(json_record_text(F.col("t"))).collect()] == ["a", "b", "{}", "not json", '{"text": null}', "[1]", "c", "5"]
+    kinds = {'{"text": "0", "content": "c"}': "0", '{"text": "false"}': "false", '{"text": "null", "content": 1}': "null", '{"text": false, "content": "x"}': "x", '{"text": 0.0, "content": "x"}': "x", '{"text": [], "content": "x"}': "x", '{"text": true}': "true"}
+    df = spark.createDataFrame([(x,) for x in kinds], "t string")
+    assert [r[0] for r in df.select(json_record_text(F.col("t"))).collect()] == list(kinds.values())
 
 
 def test_file_scan(spark, tmp_path):
@@ -77,9 +80,9 @@ GOOD = dict(id="1", source="s", category="c", type="qa", instruction="i", input=
 @pytest.mark.parametrize(
     ("change", "error"),
     [
-        ({}, None), ({"type": "x"}, "type not in"), ({"modality": "x"}, "modality not in"), ({"language": "x"}, "language not in"), ({"difficulty": None}, "difficulty not in"),
+        ({}, None), ({"type": "x"}, "type='x' not in ('qa', 'mcq'"), ({"modality": "x"}, "modality='x' not in"), ({"language": "x"}, "language='x' not in ('mn', 'en')"), ({"difficulty": None}, "difficulty=None not in"),
         ({"type": "mcq"}, ">=2 choices"), ({"type": "mcq", "choices": ["b", "c"]}, "verbatim"), ({"type": "mcq", "choices": ["a", "c"]}, None),
-        ({"instruction": " "}, "instruction is empty"), ({"answer": " "}, "answer is empty"), ({"answer": " ", "type": "dpo"}, None), ({"answer": None}, "null_field"), ({"modality": "image"}, "media_path"),
+        ({"instruction": " "}, "instruction is empty"), ({"answer": " "}, "answer is empty"), ({"answer": " ", "type": "dpo"}, None), ({"answer": None}, "null_field"), ({"modality": "image"}, "modality=image requires media_path"),
     ],
 )
 def test_row_errors(spark, change, error):
@@ -171,6 +174,61 @@ def test_batches_over_http(spark):
     assert acked == ["/v1/batches/b1/ack", "/v1/batches/b2/ack"]
 
 
+def test_a_stream_acknowledges_what_is_committed():
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from millrace.sources.batches import BatchStream
+
+    stream = BatchStream(StructType([StructField("batch_id", StringType()), StructField("text", StringType())]), {"url": "http://none"})
+    left, acked = [("b1", pa.table({"batch_id": ["b1"], "text": ["x"]})), ("b2", pa.table({"batch_id": ["b2"], "text": ["y"]}))], []
+    stream._next, stream._ack = (lambda: left.pop(0) if left else None), acked.append
+    rows_, end = stream.read(stream.initialOffset())
+    assert list(rows_) == [("b1", "x"), ("b2", "y")] and not acked
+    stream.commit(end)
+    assert acked == ["b1", "b2"]
+    assert stream.read(end)[1] == end
+
+
+def test_shards_in_path_and_line_order(spark, tmp_path):
+    for worker, part, lines in (("w1", 0, ['{"id": "a", "answer": "1"}', "", '{"id": "b"}']), ("w0", 1, ['{"id": "a", "answer": "2"}'])):
+        (tmp_path / worker).mkdir()
+        (tmp_path / worker / f"part-{part:05d}.jsonl").write_text("\n".join(lines))
+    found = files.read_shards(spark, str(tmp_path))
+    kept = merging.keep_first(found, ["id"], ["worker", "part", "line"])
+    assert sorted((r["id"], r["worker"], r["part"], r["line"], r["answer"]) for r in kept.collect()) == [("a", "w0", "part-00001.jsonl", 0, "2"), ("b", "w1", "part-00000.jsonl", 2, None)]
+
+
+def test_whole_items_and_rejects(spark):
+    from millrace.operators import items
+
+    class Wrong:
+        def models(self):
+            return ["m:1"]
+
+        def chat(self, messages):
+            if "refuse" in messages[0]["content"]:
+                return {"content": "no", "thinking": ""}
+            return {"content": '{"answer": " ", "instruction": "i", "type": "qa", "difficulty": "beginner"}', "thinking": "t"}
+
+    chunks_ = spark.createDataFrame([("i1", "p1", "text"), ("i2", "p2", "refuse")], "item_id string, path string, body string")
+    got = items.process(chunks_, "text", Wrong, wait=0.0, model="m")
+    assert items.good(got).count() == 0
+    errors = {(r["source"], r["error"]) for r in items.rejects(got).collect()}
+    assert ("p1", "answer is empty") in errors and len([e for s, e in errors if s == "p2"]) == 1
+    assert got.filter("source = 'p1'").first()["category"] == "uncategorized"
+    said = spark.createDataFrame([("i1", "a.mp3", " said "), ("i2", "b.mp3", " \n")], "item_id string, path string, body string")
+    audio = items.good(items.process(said, "audio", generation.Echo)).collect()
+    assert {(r["input"], r["media_path"], r["language"]) for r in audio} == {(" said ", "a.mp3", "mn"), (" said ", "a.mp3", "en")}
+
+
+def test_queue_tells_owner_and_unknown_items(spark):
+    items_ = spark.createDataFrame([(1, "pending", 5), (2, "done", 6)], "item long, status string, first_seen long")
+    given = leasing.leased(items_, "w", F.lit("2024-01-01").cast("timestamp")).collect()
+    assert [(r["item"], r["status"], r["owner"], str(r["expires"])) for r in given] == [(1, "leased", "w", "2024-01-01 00:20:00")]
+    log = spark.createDataFrame([(9, "done"), (1, "done"), (8, "lease")], "item long, message string")
+    assert [r["item"] for r in leasing.unknown_completions(log, items_).collect()] == [9]
+
+
 def test_sinks(spark, tmp_path):
     ids = spark.createDataFrame([("a",), ("b",)], "item_id string")
     append_manifest(ids, f"{tmp_path}/m")
