@@ -17,7 +17,10 @@ wrappers, in two steps, so that a host with a third of all pages is no hot spot.
 
 Pages of a host with an article, those with a main region instead, and those with neither have a wrapper each, so none
 makes parts of the others optional; pages without text aren't aligned. The inferred wrapper assigns each path of labels a
-role: main region, dropped region, fixed texts, or none. Pages are then read through the wrapper of their host and kind.
+role: main region, dropped region, fixed texts, or none. Pages are then read through the wrapper of their host and kind, and
+through nothing else: a page's own tags and classes drop no text. Tags and class names are a prior on the nodes of the wrapper, and
+the slots decide against it: a node that holds the main region stays whatever its classes say, and of several main regions
+those go whose slots hold little text.
 """
 
 from __future__ import annotations
@@ -39,45 +42,84 @@ from millrace.llm.shared import cut, released
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "template", "xmp", "noframes")
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 DROPPED_TAGS = frozenset("nav header footer aside form script style noscript template iframe button select option optgroup textarea input svg object embed head title dialog menu fieldset legend canvas audio video map noframes".split())
-#: Words of class, id and role that mark what is not the article.
-DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense adslot adbox sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar sidebars side aside menu menus nav navbar navigation navlinks breadcrumb breadcrumbs topbar toolbar masthead header footer copyright colophon comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations widget widgets pagination pager skip toc search form complementary contentinfo alert".split())
-MAIN_TAGS, MAIN_WORDS = ("article", "main"), frozenset({"main", "article", "content", "post", "entry", "story"})
+#: Names of class, id and role, or their last words, that mark what is not the article.
+DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense adslot adbox sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar sidebars aside menu menus nav navbar navigation navlinks breadcrumb breadcrumbs topbar toolbar masthead header footer copyright colophon comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations widget widgets pagination pager skip toc search form complementary contentinfo alert".split())
+#: Words after a marking one that leave its sense, and words before it that turn it.
+PLAIN_ENDS = frozenset("list box bar wrap wrapper container area block section item items link links button buttons inner outer top bottom left right main text content body slot unit".split())
+TURNING = frozenset("has with without no not is non by hide show".split())
+MAIN_TAGS = ("article", "main")
+#: How far a class speaks: tags that never hold article text, names that may be wrong, and names of headers, which an article has too.
+HARD, SOFT, HEADING = 2, 1, 3
+LEAST_SHARE = 0.1
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 LIMITS = frozenset("ul ol dl table body html div section article main aside nav".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r">|=\s*[\"']")
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SEVERAL = "\x00"
 MOST_TRIED = 400
 FIXED_FROM = 3
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """(label, dropped): the tag with its class, id and role words; whether it marks no article text."""
-    dropped, words = tag in DROPPED_TAGS, []
+def _named(name: str) -> int:
+    """What one class, id or role says: 0 nothing, else SOFT or HEADING."""
+    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    if not words or not TURNING.isdisjoint(words):
+        return 0
+    mark = words[-1] if words[-1] in DROPPED_WORDS else words[0] if words[0] in DROPPED_WORDS and words[-1] in PLAIN_ENDS else ""
+    return 0 if not mark else HEADING if mark in ("header", "masthead") else SOFT
+
+
+def _label(tag: str, attributes: str) -> tuple[str, int]:
+    """(label, prior): the tag with its class, id and role words; what they say against the node."""
+    prior, words = HARD if tag in DROPPED_TAGS else 0, []
     if attributes.strip(" /\n\t"):
         found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
+        said = [_named(name) for key in ("class", "id", "role") for name in found.get(key, "").split()]
         for key in ("class", "id", "role"):
             words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get(key, "")).lower())
-        hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
-        heading = re.fullmatch("h[1-6]|html|body|article|main", tag)
-        dropped |= bool(hidden) or (not heading and not DROPPED_WORDS.isdisjoint(words))
-    return ".".join([tag, *sorted(set(words))]), dropped
+        if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+            prior = HARD
+            words.append("hidden")
+        elif not prior and not re.fullmatch("h[1-6]|html|body|article|main", tag):
+            prior = SOFT if SOFT in said else HEADING if HEADING in said else 0
+            words += ["soft"] * (prior == SOFT) + ["heading"] * (prior == HEADING)
+    return ".".join([tag, *sorted(set(words))]), prior
 
 
 def parse(page: str | None) -> list:
-    """The tree of a page: node = [label, dropped, children]; a text is a str."""
+    """The tree of a page: node = [label, prior, children]; a text is a str. Time and memory grow with the page's length.
+
+    A quote opens a value only after an equals sign; one that is never closed ends with its tag.
+    """
     page = page or ""
-    root: list = ["", False, []]
-    stack, at = [root], 0
+    root: list = ["", 0, []]
+    stack, tags, at = [root], [""], 0
+    open_: dict[str, int] = {}
+    last = {q: page.rfind(q) for q in "\"'"}
+
+    def end_of(spot: int) -> int:
+        while m := STOP.search(page, spot):
+            if m[0] == ">":
+                return m.start()
+            if m.end() > last[m[0][-1]]:
+                gone = page.find(">", m.end())
+                return gone if gone >= 0 else len(page)
+            spot = page.find(m[0][-1], m.end()) + 1
+        return len(page)
 
     def close(names: set[str], limits: frozenset[str] = LIMITS) -> None:
+        if not any(open_.get(n) for n in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
-            tag = stack[k][0].split(".", 1)[0]
-            if tag in names:
-                del stack[k:]
+            if tags[k] in names:
+                for t in tags[k:]:
+                    open_[t] -= 1
+                del stack[k:], tags[k:]
                 return
-            if tag in limits:
+            if tags[k] in limits:
                 return
 
     def add(text: str) -> None:
@@ -86,12 +128,15 @@ def parse(page: str | None) -> list:
 
     while m := TOKEN.search(page, at):
         add(page[at : m.start()])
-        at = m.end()
         if not m[2]:
-            if m[0].startswith("<![CDATA["):
-                stack[-1][2].append(m[0][9:-3])
+            ends = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+            found = page.find(ends, m.end())
+            if m[0] == "<![CDATA[":
+                stack[-1][2].append(page[m.end() : found if found >= 0 else len(page)])
+            at = found + len(ends) if found >= 0 else len(page)
             continue
-        tag = m[2].lower()
+        gt = end_of(m.end())
+        attributes, at, tag = page[m.end() : gt], gt + 1, m[2].lower()
         if m[1]:
             close({tag}, frozenset())
             continue
@@ -99,16 +144,18 @@ def parse(page: str | None) -> list:
             close({"p"})
         if tag in CLOSED_BY:
             close(CLOSED_BY[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
-        label, dropped = _label(tag, m[3])
-        node: list = [label, dropped, []]
+        label, prior = _label(tag, attributes)
+        node: list = [label, prior, []]
         stack[-1][2].append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = RAW_END[tag].search(page, at)
             if tag in ("title", "textarea"):
                 node[2].append(entities.unescape(page[at : end.start() if end else len(page)]))
             at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
+            tags.append(tag)
+            open_[tag] = open_.get(tag, 0) + 1
     add(page[at:])
     return root
 
@@ -155,7 +202,7 @@ def _slots(node: list, below: bool = False) -> Iterator[str | list]:
             run.clear()
             if c is not None and not below:
                 yield c
-            elif c is not None and not c[1]:
+            elif c is not None and c[1] != HARD:
                 stack.append(c)
 
 
@@ -165,26 +212,43 @@ def _main_kind(label: str) -> str:
 
 
 def kind_of(tree: list) -> str:
-    """What main region a page has: article, else main, else none."""
-    found, stack = "", [tree]
+    """What main region a page has: article, else main, else none. One below names that speak against it counts if it holds half of the text."""
+    found: dict[tuple[bool, str], int] = {}
+    total, stack = 0, [(tree, False, "")]
     while stack:
-        node = stack.pop()
-        if node[1]:
+        node, against, within = stack.pop()
+        if node[1] == HARD:
             continue
-        kind = _main_kind(node[0])
-        if kind == "article":
-            return kind
-        found = found or kind
-        stack += [c for c in node[2] if not isinstance(c, str)]
-    return found
+        against = against or node[1] == SOFT
+        kind = within or _main_kind(node[0])
+        if kind:
+            found.setdefault((against, kind), 0)
+        for c in node[2]:
+            if isinstance(c, str):
+                size = len(_squeezed(c))
+                total += size
+                if kind:
+                    found[against, kind] += size
+            else:
+                stack.append((c, against, kind))
+    for against in (False, True):
+        for kind in MAIN_TAGS:
+            if (against, kind) in found and (not against or 2 * found[against, kind] >= total > 0):
+                return kind
+    return ""
+
+
+def _slot(x: list, y: list) -> list:
+    """One slot for two: its value if both have it, and the code points that it held on all pages."""
+    return ["#", x[1] if x[1] == y[1] else SEVERAL, x[2] + y[2]]
 
 
 def wrapper_of(node) -> list:
-    """The wrapper of one page: [label, dropped, optional, repeated, children], a text slot ["#", digest]."""
+    """The wrapper of one page: [label, dropped, optional, repeated, children], a text slot ["#", digest, code points]."""
     children: list = []
     for child in _slots(node):
         if isinstance(child, str):
-            children.append(["#", _digest(child)])
+            children.append(["#", _digest(child), len(child)])
         else:
             children.append(wrapper_of(child))
     return [node[0], node[1], False, False, _folded(children)]
@@ -196,7 +260,7 @@ def _folded(children: list) -> list:
     for c in children:
         if out and out[-1][0] == c[0]:
             if c[0] == "#":
-                out[-1] = ["#", c[1] if c[1] == out[-1][1] else SEVERAL]
+                out[-1] = _slot(out[-1], c)
             else:
                 out[-1] = _merged(out[-1], c)
                 out[-1][3] = True
@@ -216,7 +280,7 @@ def _squared(children: list) -> list:
                 for o in range(size):
                     a, b = children[k + o], children[k + size + o]
                     if a[0] == "#":
-                        children[k + o] = ["#", a[1] if a[1] == b[1] else SEVERAL]
+                        children[k + o] = _slot(a, b)
                     else:
                         children[k + o] = _merged(a, b)
                         children[k + o][3] = True
@@ -262,7 +326,7 @@ def _aligned(xs: list, ys: list) -> list:
         out += [_optional(c) for c in xs[i:p]] + [_optional(c) for c in ys[j:q]]
         if p < len(xs):
             x, y = xs[p], ys[q]
-            out.append(["#", x[1] if x[1] == y[1] else SEVERAL] if x[0] == "#" else _merged(x, y))
+            out.append(_slot(x, y) if x[0] == "#" else _merged(x, y))
         i, j = p + 1, q + 1
     if len(out) == len(xs) == len(ys):
         return out
@@ -271,7 +335,7 @@ def _aligned(xs: list, ys: list) -> list:
     for c in out:
         if folded and folded[-1][0] == c[0]:
             if c[0] == "#":
-                folded[-1] = ["#", c[1] if c[1] == folded[-1][1] else SEVERAL]
+                folded[-1] = _slot(folded[-1], c)
             else:
                 folded[-1] = _merged(folded[-1], c)
                 folded[-1][3] = True
@@ -287,7 +351,7 @@ def _by_label(children: list) -> list:
         if c[0] not in found:
             found[c[0]] = c
         elif c[0] == "#":
-            found["#"] = ["#", SEVERAL]
+            found["#"] = ["#", SEVERAL, found["#"][2] + c[2]]
         else:
             found[c[0]] = _merged(found[c[0]], c)
             found[c[0]][2:4] = [True, True]
@@ -295,7 +359,44 @@ def _by_label(children: list) -> list:
 
 
 def _optional(child: list) -> list:
-    return ["#", SEVERAL] if child[0] == "#" else [child[0], child[1], True, *child[3:]]
+    return ["#", SEVERAL, child[2]] if child[0] == "#" else [child[0], child[1], True, *child[3:]]
+
+
+def _mass(node: list) -> int:
+    """Code points in the slots below, but for those of nodes that hold no article text."""
+    total, stack = 0, [node]
+    while stack:
+        n = stack.pop()
+        for c in n[4]:
+            if c[0] == "#":
+                total += c[2]
+            elif c[1] != HARD:
+                stack.append(c)
+    return total
+
+
+def _mains(wrapper: list) -> set[int]:
+    """Nodes that are main regions: the outermost articles, else mains, that names speak least against and whose slots hold text."""
+    found: list[tuple[bool, int, int, list]] = []
+    stack = [(wrapper, False)]
+    while stack:
+        node, against = stack.pop()
+        if node[0] == "#" or node[1] == HARD:
+            continue
+        against = against or node[1] == SOFT
+        if kind := _main_kind(node[0]):
+            found.append((against, MAIN_TAGS.index(kind), _mass(node), node))
+            if kind == MAIN_TAGS[0]:
+                continue
+        stack += [(c, against) for c in node[4]]
+    if not found:
+        return set()
+    best = min(x[:2] for x in found)
+    own = [x for x in found if x[:2] == best and (not x[0] or 2 * x[2] >= _mass(wrapper))]
+    if not own:
+        return set()
+    most = max(x[2] for x in own)
+    return {id(x[3]) for x in own if x[2] >= LEAST_SHARE * most}
 
 
 def roles(wrapper: list, pages: int) -> dict[str, str | list]:
@@ -306,25 +407,34 @@ def roles(wrapper: list, pages: int) -> dict[str, str | list]:
     its values, inside a main region too, if anything else of the region (or of the page, outside) is open.
     """
     out: dict[str, str | list] = {}
-    mains: dict[str, list] = {kind: [] for kind in MAIN_TAGS}
+    mains = _mains(wrapper)
     open_nodes: set[int] = set()
+    holders: set[int] = set()
+
+    def holds(node: list) -> bool:
+        """Whether a main region is the node or below it."""
+        if id(node) in mains or any([holds(c) for c in node[4] if c[0] != "#"]):
+            holders.add(id(node))
+        return id(node) in holders
 
-    def look(node: list, path: str) -> bool:
+    holds(wrapper)
+
+    def look(node: list, path: str, within: bool, above: list | None) -> bool:
         """Whether anything below is open."""
         here = _path(path, node[0])
-        if node[1]:
+        own_header = within and (node[1] == HEADING or (node[0] == "header" and above is not None and id(above) in mains))
+        if node[1] and id(node) not in holders and not own_header:
             out[here] = "d"
             return False
-        if kind := _main_kind(node[0]):
-            mains[kind].append(here)
-        found = any([c[1] == SEVERAL if c[0] == "#" else look(c, here) for c in node[4]])
+        if id(node) in mains:
+            out[here] = "m"
+        within = within or id(node) in mains
+        found = any([c[1] == SEVERAL if c[0] == "#" else look(c, here, within, node) for c in node[4]])
         if found:
             open_nodes.add(id(node))
         return found
 
-    opened = look(wrapper, "")
-    for path in mains["article"] or mains["main"]:
-        out[path] = "m"
+    opened = look(wrapper, "", False, None)
     if opened and pages >= FIXED_FROM:
 
         def fixed(node: list, path: str, always: bool) -> list[str] | None:
@@ -361,9 +471,9 @@ def text_of(tree: list, known: dict[str, str | list]) -> str:
         run.clear()
 
     def walk(root: list, inside: bool) -> None:
-        stack = [(iter(root[2]), "", inside, "", False)]
+        stack = [(iter(root[2]), "", inside, "")]
         while stack:
-            children, path, within, tag, below_main = stack[-1]
+            children, path, within, tag = stack[-1]
             for child in children:
                 if isinstance(child, str):
                     if within:
@@ -376,12 +486,11 @@ def text_of(tree: list, known: dict[str, str | list]) -> str:
                 elif name == "br":
                     run.append(" ")
                 role = known.get(here)
-                article_header = within and name == "header" and below_main
-                if (role == "d" or child[1]) and not (article_header and child[0] == "header"):
+                if role == "d":
                     continue
                 if isinstance(role, list) and (own := {*map(_digest, _slots(child, below=True))}) and own <= set(role):
                     continue
-                stack.append((iter(child[2]), here, within or role == "m", name, below_main or name.startswith(MAIN_TAGS)))
+                stack.append((iter(child[2]), here, within or role == "m", name))
                 break
             else:
                 if tag in BLOCKS:
@@ -389,10 +498,10 @@ def text_of(tree: list, known: dict[str, str | list]) -> str:
                 stack.pop()
 
     has_main = "m" in known.values()
-    walk(["", False, [tree]], not has_main)
+    walk(["", 0, [tree]], not has_main)
     flush()
     if not blocks and has_main:  # a page without its host's main region
-        walk(["", False, [tree]], True)
+        walk(["", 0, [tree]], True)
         flush()
     return "\n".join(blocks)
 
@@ -489,7 +598,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """page_id, url, text for every row of ``pages``.
 
     A null html is an empty page with an empty text; a null url shares the wrapper of urls without a host.
-    Repeated rows each get their text; other columns aren't read. An empty table gives an empty result.
+    Repeated rows each get their text, and rows are aligned in an order that the result doesn't depend on but for ties in alignment;
+    a page of any length or depth is read whole, in one task's memory; other columns aren't read. An empty table gives an empty result.
     Wrappers join pages by broadcast while all of them together take less than ``BROADCAST_BYTES``, and by
     a shuffle that can split a hot host beyond.
     """

@@ -230,9 +230,38 @@ def test_mixed_documents_repeat_as_often_as_taken(spark):
     assert words == taken and max(taken[i] / (i % 7 + 1) for i in taken) == 3
 
 
+def test_quotas_by_highest_quotients(spark):
+    draw = random.Random(13)
+    groups = {g: ([draw.choice([0, 1, 7, 7, draw.randint(1, 900)]) for _ in range(draw.randint(1, 9))], draw.randint(0, 400)) for g in range(40)}
+    rows = [(g, p, float(v), seats) for g, (votes, seats) in groups.items() for p, v in enumerate(votes)]
+    got = {(r["g"], r["p"]): r["quota"] for r in mixing._apportioned(spark.createDataFrame(rows, "g int, p int, v double, seats long"), ["g"], "p", "v", "seats").collect()}
+    for g, (votes, seats) in groups.items():
+        won = [0] * len(votes)
+        for _ in range(seats if any(votes) else 0):
+            best = max(range(len(votes)), key=lambda p: (votes[p] / (2 * won[p] + 1), -p))
+            won[best] += 1
+        assert [got[g, p] for p in range(len(votes))] == won
+
+
+def test_small_sources_get_their_words(spark):
+    docs = [(k, "w " * 4000, "a") for k in range(400)] + [(1000 + k, "w " * 6, "b") for k in range(10)] + [(2000, "w " * 50, "c"), (None, "x y z", "d"), (None, "u v", "d")]
+    got = mixing.mix_sources(spark.createDataFrame(docs, "doc_id long, text string, source string")).groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.max("size").alias("longest")).collect()
+    assert len(got) == 4 and all(abs(r["taken"] - r["target"]) <= max(r["longest"], 0.01 * r["target"]) for r in got)
+
+
 # chat
 
 
+def test_chat_long_empty_and_clashing_names(spark):
+    ddl = "conv_id long, turn long, role string, text string, messages string, pieces int, ends long, one string"
+    assert chat.format_conversations(spark.createDataFrame([], ddl)).collect() == []
+    rows = [(1, k, "assistant" if k % 700 > 3 else "user", f"t{k}", "m", 1, 2, "o") for k in range(3000)] + [(2, 0, "user", "x" * 300_000, None, None, None, None)]
+    got = chat.format_conversations(spark.createDataFrame(rows, ddl))
+    read = {r["conv_id"]: r for r in got.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    assert [(t["role"], t["text"]) for t in read[1]["turns"]] == [r[2:4] for r in rows[:-1]]
+    assert read[1]["loss"] == "".join(r[3] for r in rows[:-1] if r[2] == "assistant") and len(read[2]["turns"][0]["text"]) == 300_000
+
+
 def test_chat_round_trip(spark):
     draw = random.Random(9)
     bits = ["<|im_end|>", "<|im_sep|>", "<|im_more|>", "\\", "<\\|", "<", "|", "\n", "x", "é", "$1"]
@@ -346,6 +375,35 @@ def test_long_fixed_texts_and_deep_articles(spark):
         assert texts_of(spark, deep) == ["in 0", "in 1", "in 2"]
 
 
+def test_the_wrapper_decides(spark):
+    pages = [PAGE % f"<article><p>in {k}</p></article>" for k in range(3)]
+    assert texts_of(spark, pages) == ["in 0", "in 1", "in 2"]
+    assert all("A" in main_text(p, {}) and "Buy" in main_text(p, {}) for p in pages)
+    for k, page in enumerate(pages[:1]):
+        now = wrapper_of(parse(page))
+        assert main_text(page, roles(now, 1)) == f"in {k}"
+    # a region that names speak against, but that holds the text of all pages, stays
+    assert texts_of(spark, [f"<div class='sidebar'><article><p>long enough {k}</p></article></div><p>x</p>" for k in range(3)]) == [f"long enough {k}" for k in range(3)]
+    assert texts_of(spark, ["<div class='sidebar'><article>tease</article></div><div class='text'><p>" + "real words " * 9 + f"{k}</p></div>" for k in range(3)]) == ["real words " * 9 + str(k) for k in range(3)]
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='site has-sidebar'><article><p>A</p></article></div>", "A"), ("<div class='layout with-sidebar'><main><p>A</p></main><div class='sidebar'>x</div></div>", "A"),
+        ("<div id='content' class='side-by-side'><p>A</p></div>", "A"), ("<article><p class='post-header'>H</p><p class='promo-free'>F</p><div class='user-comments'><p>c</p></div></article>", "H\nF"),
+        ("<p don't>He said it's fine</p>", "He said it's fine"), ('<p class="x>Hello</p>', "Hello"), ("<p title='a > b'>x</p>", "x"), ("<div class='AdBox'>x</div><p>y &lt;b&gt;</p>", "y <b>"), ("<!-- never closed <p>x</p>", ""),
+    ],
+)
+def test_odd_markup(page, text):
+    assert main_text(page, roles(wrapper_of(parse(page)), 1)) == text
+
+
+def test_pages_of_great_length_and_depth():
+    for page in ("<div>" * 100_000 + "x", '<p class="x>a' * 50_000, "<p></x>" * 50_000, "<a href='" * 50_000):
+        assert parse(page)[0] == ""
+
+
 # fingerprints
 
 
