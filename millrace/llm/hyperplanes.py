@@ -5,8 +5,8 @@
    with equal label and signs in some table are candidates. The number of planes grows with the logarithm
    of the rows, so buckets keep their size; the number of tables follows from the planes, so that a pair
    at the threshold is missed with a probability of ``MISS`` at most.
-3. Buckets of several vectors are compared in full, block against block of bounded size, whatever the size
-   of the bucket. Within a pair of blocks cosines are exact, in double precision. A pair that several tables
+3. Buckets of several vectors are compared in full: many small ones at once, and large ones block against block of
+   bounded size, whatever the size of the bucket. Within a pair of blocks cosines are exact, in double precision. A pair that several tables
    find counts in the first of them. A task gives link counts for each vector and a spanning forest of its
    links, never the pairs.
 """
@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components, forest
-from millrace.llm.shared import cut
+from millrace.llm.shared import cut, released
 
 MISS = 1e-7
 BLOCK = 1024
+#: Rows of small buckets compared at once, and numbers in one product of them.
+GATHERED, PRODUCT = 8192, 1 << 20
 
 
 def shape(rows: int, threshold: float) -> tuple[int, int]:
@@ -119,6 +121,73 @@ def _compared(threshold: float):
     return run
 
 
+def _bucketed(threshold: float):
+    """The same for whole buckets, rows sorted by bucket: those of one size and vector length in one product."""
+
+    def links(t: pa.Table) -> pa.RecordBatch:
+        ids, copies, tab = (t.column(c).to_numpy() for c in ("vec_id", "copies", "tab"))
+        raw = t.column("v").to_pylist()
+        keys = np.frombuffer(b"".join(t.column("packed_keys").to_pylist()), np.int64).reshape(len(ids), -1)
+        bucket = np.cumsum(_changes(t))
+        dims = np.asarray([len(v) // 8 for v in raw])
+        counts = np.zeros(len(ids), np.int64)
+        a: list[int] = []
+        b: list[int] = []
+        for d in np.unique(dims).tolist():
+            own = np.flatnonzero(dims == d)
+            units = _units([raw[k] for k in own.tolist()])
+            start = np.flatnonzero(np.concatenate(([True], bucket[own][1:] != bucket[own][:-1])))
+            size = np.diff(np.append(start, len(own)))
+            for m in np.unique(size[size > 1]).tolist():
+                every = start[size == m][:, None] + np.arange(m)
+                step = max(1, PRODUCT // (m * max(m, d)))
+                upper = np.triu(np.ones((m, m), bool), 1)
+                for lo in range(0, len(every), step):
+                    part = every[lo : lo + step]
+                    x = units[part]
+                    k, i, j = np.nonzero((x @ x.transpose(0, 2, 1) >= threshold) & upper)
+                    i, j = own[part[k, i]], own[part[k, j]]
+                    fresh = ~((keys[i] == keys[j]) & (np.arange(keys.shape[1]) < tab[i][:, None])).any(axis=1)
+                    i, j = i[fresh], j[fresh]
+                    np.add.at(counts, i, copies[j])
+                    np.add.at(counts, j, copies[i])
+                    for node, top in forest(zip(ids[i].tolist(), ids[j].tolist(), strict=True)).items():
+                        if node != top:
+                            a.append(node)
+                            b.append(top)
+        hit = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([pa.array(ids[hit].tolist() + a, pa.int64()), pa.array([None] * len(hit) + b, pa.int64()), pa.array(counts[hit].tolist() + [0] * len(a), pa.int64())], names=["a", "b", "n"])
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for b in batches:
+            held.append(b)
+            rows += b.num_rows
+            if rows >= GATHERED:
+                t = pa.Table.from_batches(held).combine_chunks()
+                last = int(np.flatnonzero(_changes(t))[-1])  # the last bucket may go on
+                if last:
+                    yield links(t.slice(0, last))
+                held = t.slice(last).to_batches()
+                rows = t.num_rows - last
+        if rows:
+            yield links(pa.Table.from_batches(held).combine_chunks())
+
+    return run
+
+
+def _changes(t: pa.Table) -> np.ndarray:
+    """Whether a row starts a bucket."""
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for name in ("label", "tab", "key"):
+        c = t.column(name).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", seed: int = 11) -> DataFrame:
     """Links between vectors of equal non-null label at cosine >= ``threshold``, and their components.
 
@@ -139,11 +208,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     spread = reps.select("vec_id", "label", F.posexplode("keys").alias("tab", "key"))
     buckets = spread.groupBy("label", "tab", "key").agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     members = spread.join(buckets.drop("size"), ["label", "tab", "key"]).withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    dealt = members.select("label", "tab", "key", "vec_id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    large = members.filter("blocks > 1")
+    dealt = large.select("label", "tab", "key", "vec_id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("label", "tab", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "vec_id")
-    bytes_of = reps.mapInArrow(_key_bytes, "vec_id long, label long, v binary, copies long, packed_keys binary")
-    carried = dealt.join(bytes_of, ["vec_id", "label"])
-    found = cut(carried.groupBy("label", "tab", "key", "i", "j").applyInArrow(_compared(threshold), "a long, b long, n long"), "compared")
+    bytes_of = cut(reps.mapInArrow(_key_bytes, "vec_id long, label long, v binary, copies long, packed_keys binary"), "keyed")
+    crossed = dealt.join(bytes_of, ["vec_id", "label"]).groupBy("label", "tab", "key", "i", "j").applyInArrow(_compared(threshold), "a long, b long, n long")
+    small = members.filter("blocks = 1").select("label", "tab", "key", "vec_id").join(bytes_of, ["vec_id", "label"])
+    small = small.select("label", "tab", "key", "vec_id", "copies", "v", "packed_keys").repartition("label", "tab", "key").sortWithinPartitions("label", "tab", "key", "vec_id")
+    found = cut(small.mapInArrow(_bucketed(threshold), "a long, b long, n long").unionByName(crossed), "compared")
 
     own_class = usable.join(classes, ["label", "v1", "v2"]).select("vec_id", "label", "v1", "v2", "rep", "copies")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("outside"))

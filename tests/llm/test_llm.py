@@ -190,6 +190,18 @@ def test_vectors_by_brute_force(spark):
     assert shape(1 << 20, 0.98)[0] > shape(1 << 10, 0.98)[0]
 
 
+def test_buckets_of_several_blocks(spark):
+    draw = np.random.default_rng(14)
+    centre, noise = draw.standard_normal(8), draw.standard_normal((1300, 8)) * 0.12
+    x = centre + noise
+    rows = [(k, v.tolist(), 1, 5, "c") for k, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, tab int, key string")).collect()}
+    u = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    close = u @ u.T >= 0.98
+    found = forest(zip(*(k.tolist() for k in np.nonzero(np.triu(close, 1))), strict=True))
+    assert [(got[k]["n_links"], got[k]["component_id"]) for k in range(1300)] == [(int(close[k].sum()) - 1, found.get(k, k)) for k in range(1300)]
+
+
 # mixing
 
 
