@@ -10,7 +10,9 @@ A part of the sample is kept from the fit and calibrates a temperature for the s
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,11 @@ from millrace.llm.shared import cut, released
 BITS = 16
 FEATURES = 1 << BITS
 SCALE = 30.0
-SLICE = 1 << 20
+#: Characters that n-grams are made of at a time.
+SLICE = 1 << 18
+#: Languages that a slice is scored for at a time.
+COLUMNS = 16
+BETWEEN_WORDS = re.compile(r"\w\s\w")
 UNKNOWN = "und"
 #: Rows of the sample that weights and temperature are fitted on, over all languages.
 SAMPLE_ROWS = 6000
@@ -44,51 +50,64 @@ def _table() -> np.ndarray:
     return _letters[0]
 
 
-def grams(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Slices of texts as (first, end, features of every n-gram, text of each n-gram's start, letters of each text).
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Where a long text is read in parts: each ends with a letter before white space and a letter, so no word is cut."""
+    at = 0
+    while len(text) - at > SLICE:
+        whole = (m.start() + 1 for m in BETWEEN_WORDS.finditer(text, at + SLICE - 1) if m[0][0].lower()[-1].isalpha() and m[0][2].lower()[0].isalpha())
+        end = next(whole, len(text))
+        yield at, end
+        at = end
+    if at < len(text) or not text:
+        yield at, len(text)
 
-    N-grams don't cross texts; those that would have the feature ``FEATURES``. The three orders follow one
-    another in rows of the feature array.
+
+def grams(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of pieces of texts as (text of each piece, bounds of pieces, features of every n-gram, letters of each piece).
+
+    N-grams don't cross texts; those that would have the feature ``FEATURES``. The three orders are rows of the
+    feature array. A text longer than a slice comes in several pieces, which have all n-grams of the whole.
     """
-    table, first = _table(), 0
-    while first < len(texts):
-        end, parts, size = first, [], 0
-        while end < len(texts) and (not parts or size < SLICE):
-            parts.append((texts[end] or "").lower().encode("utf-32-le", "surrogatepass"))
-            size += len(parts[-1]) // 4
-            end += 1
-        space = " ".encode("utf-32-le")
-        codes = table[np.frombuffer(space + space.join(parts) + space, np.uint32)]
-        begins = np.cumsum([0, *(len(p) // 4 + 1 for p in parts)])
-        letter = codes != 32
-        counts = np.diff(np.concatenate(([0], np.cumsum(letter)))[begins]) if len(parts) else np.empty(0, np.int64)
-        # a run of spaces is one; a border between texts is always one of its own
-        keep = letter.copy()
-        keep[1:] |= letter[:-1]
-        keep[begins] = True
-        short = codes[keep]
-        where = np.cumsum(keep) - 1
-        starts = where[begins]
-        text_of = np.zeros(len(short), np.int32)
-        text_of[starts[1:-1]] = 1
-        np.cumsum(text_of, out=text_of)
-        one = (short * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-        nxt = np.append(short[1:], np.uint32(32))
-        two = ((short * np.uint32(0x85EBCA77) + nxt * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS)
-        third = np.append(nxt[1:], np.uint32(32))
-        three = ((short * np.uint32(0x165667B1) + nxt * np.uint32(0xD3A2646D) + third * np.uint32(0xFD7046C5)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-        out = np.stack([one, two, three]).astype(np.int32)
-        # a text owns its opening border and what follows, up to the next border
-        out[1, np.maximum(starts[1:] - 1, 0)] = FEATURES
-        out[2, np.maximum(starts[1:] - 1, 0)] = FEATURES
-        out[2, np.maximum(starts[1:] - 2, 0)] = FEATURES
-        out[:, -1] = FEATURES
-        yield first, end, out, text_of, counts
-        first = end
-
-
-def _bounds(text_of: np.ndarray, n: int) -> np.ndarray:
-    return np.searchsorted(text_of, np.arange(n + 1))
+    group: list[tuple[int, str, int, int]] = []
+    size = 0
+    for k, text in enumerate(texts):
+        for a, b in _pieces(text or ""):
+            group.append((k, text or "", a, b))
+            size += b - a
+            if size >= SLICE:
+                yield _grams(group)
+                group, size = [], 0
+    if group:
+        yield _grams(group)
+
+
+def _grams(group: list[tuple[int, str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    table, space = _table(), " ".encode("utf-32-le")
+    parts = [text[a:b].lower().encode("utf-32-le", "surrogatepass") for _, text, a, b in group]
+    _, text, _, end = group[-1]
+    ahead = text[end + 1 : end + 2].lower().encode("utf-32-le", "surrogatepass")
+    codes = table[np.frombuffer(space + space.join(parts) + space + ahead, np.uint32)]
+    begins = np.cumsum([0, *(len(p) // 4 + 1 for p in parts)])
+    letter = codes != 32
+    counts = np.add.reduceat(letter[: begins[-1]], begins[:-1], dtype=np.int64)
+    # a run of spaces is one; a border between pieces is always one of its own
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    keep[begins] = True
+    short = codes[keep]
+    bounds = np.concatenate(([0], np.cumsum(np.add.reduceat(keep, begins, dtype=np.int64))[:-1]))
+    own = bounds[-1]
+    nxt = np.append(short[1:], np.uint32(32))
+    third = np.append(nxt[1:], np.uint32(32))
+    found = np.empty((3, own), np.int32)
+    found[0] = ((short * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))[:own]
+    found[1] = (((short * np.uint32(0x85EBCA77) + nxt * np.uint32(0xC2B2AE3D)) * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BITS))[:own]
+    found[2] = (((short * np.uint32(0x165667B1) + nxt * np.uint32(0xD3A2646D) + third * np.uint32(0xFD7046C5)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS))[:own]
+    # a piece owns its opening border and what follows, up to the next border
+    last = bounds[1:][[b == len(text) for _, text, _, b in group]] - 1
+    found[1:, last] = FEATURES
+    found[2, np.maximum(last - 1, 0)] = FEATURES
+    return np.array([k for k, *_ in group]), bounds, found, counts
 
 
 @released
@@ -101,25 +120,23 @@ def _learn_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], names=["lang", "features", "counts", "n"])
 
     for batch in batches:
-        langs, picked, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(0).to_pylist()
-        for first, end, found, text_of, letters in grams(texts):
-            bounds = _bounds(text_of, end - first)
-            out: list[tuple] = []
-            for k in range(end - first):
-                if not letters[k]:
-                    continue
-                own = found[:, bounds[k] : bounds[k + 1]].ravel()
-                rows += 1
-                seen = np.zeros(FEATURES + 1, bool)
+        langs, picked = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        out: list[tuple] = []
+        pieces = ((int(k), found[:, a:b].ravel()) for owners, bounds, found, letters in grams(x.as_py() for x in batch.column(0)) for k, a, b, n in zip(owners, bounds, bounds[1:], letters) if n)
+        for k, parts in groupby(pieces, key=lambda piece: piece[0]):
+            seen = np.zeros(FEATURES + 1, bool)
+            counts = np.zeros(FEATURES + 1, np.int64)
+            for _, own in parts:
                 seen[own] = True
-                at = np.flatnonzero(seen)
-                df[at] += 1
-                if picked[first + k]:
-                    counts = np.bincount(own, minlength=FEATURES + 1)
-                    at = at[at < FEATURES]
-                    out.append((langs[first + k], at.astype(np.int32).tobytes(), counts[at].astype(np.int32).tobytes(), int(counts[at].sum())))
-            if out:
-                yield made(*zip(*out, strict=True))
+                if picked[k]:
+                    counts += np.bincount(own, minlength=FEATURES + 1)
+            rows += 1
+            df[seen] += 1
+            if picked[k]:
+                at = np.flatnonzero(seen[:FEATURES])
+                out.append((langs[k], at.astype(np.int32).tobytes(), counts[at].astype(np.int32).tobytes(), int(counts[at].sum())))
+        if out:
+            yield made(*zip(*out, strict=True))
     yield made([None], [df[:FEATURES].tobytes()], [None], [rows])
 
 
@@ -135,23 +152,24 @@ class Model:
         self.languages, self.bias, self.temperature = languages, bias, temperature
         self.weights = np.vstack([weights, np.zeros((1, len(languages)))]).astype(np.float32)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [], []
-        for first, end, found, text_of, letters in grams(texts):
-            if not self.languages:
-                names += [UNKNOWN] * (end - first)
-                scores += [0.0] * (end - first)
-                continue
-            starts = _bounds(text_of, end - first)[:-1]
-            total = sum(np.add.reduceat(self.weights[row], starts, axis=0, dtype=np.float64) for row in found)
-            used = sum(np.add.reduceat((row < FEATURES).astype(np.int64), starts) for row in found)
-            logits = (total / np.maximum(used, 1)[:, None] + self.bias) / self.temperature
-            e = np.exp(logits - logits.max(axis=1, keepdims=True))
-            p = e / e.sum(axis=1, keepdims=True)
-            for k, best in enumerate(p.argmax(axis=1).tolist()):
-                names.append(self.languages[best] if letters[k] else UNKNOWN)
-                scores.append(float(p[k, best]) if letters[k] else 0.0)
-        return names, scores
+    def predict(self, texts: Sequence[str | None] | pa.Array) -> tuple[list[str], list[float]]:
+        if not self.languages:
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        total, used, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        blocks = [(slice(c, c + COLUMNS), np.ascontiguousarray(self.weights[:, c : c + COLUMNS])) for c in range(0, len(self.languages), COLUMNS)]
+        for owners, bounds, found, own in grams(t.as_py() if isinstance(t, pa.Scalar) else t for t in texts):
+            np.add.at(letters, owners, own)
+            for row in found:
+                np.add.at(used, owners, np.add.reduceat(row < FEATURES, bounds[:-1], dtype=np.int64))
+                for columns, weights in blocks:
+                    np.add.at(total[:, columns], owners, np.add.reduceat(weights[row], bounds[:-1], axis=0, dtype=np.float64))
+        logits = (total / np.maximum(used, 1)[:, None] + self.bias) / self.temperature
+        logits -= logits.max(axis=1, keepdims=True)
+        p = np.exp(logits)
+        p /= p.sum(axis=1, keepdims=True)
+        best = p.argmax(axis=1)
+        names = [self.languages[b] if n else UNKNOWN for b, n in zip(best.tolist(), letters.tolist(), strict=True)]
+        return names, np.where(letters > 0, p[np.arange(len(best)), best], 0.0).tolist()
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -233,14 +251,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     held out too. Weights and temperature come from about ``sample_rows`` rows in all, equal parts for each language, picked
     by a hash of id and text; document frequencies count every training row. A text that is null or has no letter is
     ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions; of languages with
-    equal scores the first by name is predicted. Other columns aren't read.
+    equal scores the first by name is predicted. Other columns aren't read. A long text is read whole, in pieces that end
+    between words, so memory is bounded but for a text without white space, which is one piece.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, sample_rows))
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores = shared.value.predict(b.column(2).to_pylist())
+            names, scores = shared.value.predict(b.column(2))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), _held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
@@ -260,7 +279,7 @@ def keep_identified(docs: DataFrame, text_col: str = "text", least: float = 0.35
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores = shared.value.predict(b.column(at).to_pylist())
+            names, scores = shared.value.predict(b.column(at))
             yield b.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, lines, mixing
+from millrace.llm import chat, language, lines, mixing
 from millrace.llm.bpe import WordBpe, encode_documents
 from millrace.llm.components import components, forest
 from millrace.llm.fingerprints import compare_versions
@@ -100,6 +100,44 @@ def test_prediction_depends_on_the_text_alone(spark):
         assert model.predict([t])[0] == [n] and abs(model.predict([t])[1][0] - s) < 1e-6
 
 
+def test_training_by_plain_restatement(spark):
+    draw = random.Random(21)
+    words = {lang: ["".join(draw.choice(letters) for _ in range(draw.randint(2, 5))) for _ in range(12)] for lang, letters in (("aa", "abcde"), ("bb", "cdefg"), ("cc", "éİΣωb"))}
+    docs = [(k, None if k == 9 else "...".join(draw.choice(words[lang]) for _ in range(draw.randint(0, 9))) + "!" * (k % 2), None if k == 11 else lang) for k, lang in ((k, draw.choice(sorted(words))) for k in range(70))]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    model = fit(table)
+    langs, weights, bias, temperature = brute.language_model(docs)
+    assert model.languages == langs and np.allclose(model.bias, bias, atol=1e-9) and math.isclose(model.temperature, temperature)
+    plain = np.zeros_like(model.weights)
+    for (f, lang), w in weights.items():
+        plain[f, langs.index(lang)] = w
+    assert np.allclose(model.weights, plain, atol=1e-5) and (plain != 0).sum() > 50
+    for r in identify(table).collect():
+        found = brute.ngrams(text := docs[r["doc_id"]][1])
+        x = sum(n * plain[f].astype(float) for f, n in found.items()) / sum(found.values()) + bias
+        p = np.exp(x / temperature - max(x / temperature))
+        if any(c.isalpha() for c in text or ""):
+            assert r["lang_pred"] == langs[int(p.argmax())] and abs(r["score"] - p.max() / p.sum()) < 1e-5
+        else:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 18])
+def test_ngrams_of_slices_by_brute_force(monkeypatch, size):
+    draw = random.Random(22)
+    texts = [None, "", "!!", "a", "Σ", LONG[:5000], *("".join(draw.choice("ab cİΣσ,.\n é'1²漢  ") for _ in range(draw.randint(0, 300))) for _ in range(150))]
+    monkeypatch.setattr(language, "SLICE", size)
+    got, letters = [{} for _ in texts], [0] * len(texts)
+    for owners, bounds, found, own in language.grams(iter(texts)):
+        for k, a, b, n in zip(owners, bounds, bounds[1:], own):
+            letters[k] += n
+            for f in found[:, a:b].ravel().tolist():
+                if f < language.FEATURES:
+                    got[k][f] = got[k].get(f, 0) + 1
+    assert got == [brute.ngrams(t) for t in texts]
+    assert letters == [sum(c.isalpha() for c in (t or "").lower()) for t in texts]
+
+
 # line dedup
 
 
@@ -347,6 +385,13 @@ def test_pages(spark):
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_pages_with_clashing_names_and_repeated_rows(spark):
+    ddl = "page_id long, url string, html string, host string, text string, wrapper binary, n long"
+    row = ("http://a.b/1", "<p>" + "long words " * 40_000 + "</p>", "x", "y", b"z", 1)
+    got = extract_main_text(spark.createDataFrame([(1, *row), (1, *row), (None, *row), (2, None, None, None, None, None, None)], ddl)).collect()
+    assert {(r["page_id"], len(r["text"])) for r in got} == {(1, 439_999), (None, 439_999), (2, 0)} and len(got) == 4
+
+
 def test_wrapper_is_union_free():
     pages = [f"<body><div class='top'>My site</div><div>{body}</div></body>" for body in ("<p>a</p>", "<p>b</p><p>c</p>", "<h2>d</h2><p>e</p>")]
     from millrace.llm.wrappers import _merged
