@@ -153,6 +153,7 @@ class WordBpe:
         self.matches = SuffixAutomaton(keys)
         letters = byte_letters()
         self.letter = {chr(b): letters[b] for b in range(256)}
+        self.table = {b: letters[b] for b in range(256) if letters[b] != chr(b)}
         self.word = regex.compile(WORD)
         self.early_word = re.compile(early(WORD))
         self.late = regex.compile(f"[{chr(EARLY)}-\U0010ffff]")
@@ -195,6 +196,15 @@ class WordBpe:
                     first = m
         return first
 
+    def _apart(self, a: int, b: int) -> bool:
+        """Whether no merge crosses the border when a stands before b."""
+        merged, right = self.merged.get, self._spine(b, 0)
+        for x, x_ends in self._spine(a, 1):
+            for y, y_ends in right:
+                if (m := merged(x << 20 | y)) is not None and m < x_ends and m <= y_ends:
+                    return False
+        return True
+
     def _sound(self, ids: list[int]) -> set[int]:
         """Tokens that are the encoding of their own letters; no other ever appears."""
         good: set[int] = set()
@@ -210,7 +220,7 @@ class WordBpe:
                 self.fits.clear()
                 self._right.clear()
                 self._left.clear()
-            known = self.fits[key] = self.crossing(a, b) == 1 << 40
+            known = self.fits[key] = self._apart(a, b)
         return known
 
     def _fill(self, words: set[str]) -> None:
@@ -218,8 +228,9 @@ class WordBpe:
 
         In sorted order neighbours share prefixes, and what is known of a shared prefix is kept.
         """
-        ordered = sorted((w if w.isascii() and w.isprintable() else "".join([self.letter[chr(b)] for b in w.encode("utf-8")]), w) for w in words)
-        compatible, step, ending, miss = self.compatible, self.matches.next, self.matches.ending, self.matches.step
+        table = self.table
+        ordered = sorted((w if w.isascii() and w.isprintable() else w.encode("utf-8").decode("latin-1").translate(table), w) for w in words)
+        compatible, known, step, ending, miss = self.compatible, self.fits.get, self.matches.next, self.matches.ending, self.matches.step
         length, new = self.length, self.new
         last, states, before = [-1], [0], ""
         for letters, word in ordered:
@@ -235,9 +246,15 @@ class WordBpe:
                 state = miss(state, letter) if to is None else to
                 found = -1
                 for i, size in ending[state]:
-                    if size == at or ((prior := last[at - size]) >= 0 and compatible(prior, i)):
+                    if size == at:
                         found = i
                         break
+                    if (prior := last[at - size]) >= 0:
+                        if (fits := known(prior << 20 | i)) is None:
+                            fits = compatible(prior, i)
+                        if fits:
+                            found = i
+                            break
                 last.append(found)
                 states.append(state)
             out, n = [], len(letters) + 1
@@ -274,8 +291,7 @@ class WordBpe:
         if self.held >= CACHE_BYTES:
             self.new, self.held = {}, 0
         new = self.new
-        missing = {w for pieces in split for words in pieces for w in words if w not in new}
-        self._fill(missing)
+        self._fill(set(chain.from_iterable(chain.from_iterable(split))).difference(new))
         out = []
         for pieces in split:
             if len(pieces) == 1:
@@ -305,7 +321,6 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = None  # a task without rows needs none; it goes with the task, so that workers don't keep it
 
-
         def made(ids, tokens, sizes, texts):
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
             flat = pa.array(np.concatenate([np.asarray(t, np.int32) for t in tokens]) if tokens else np.empty(0, np.int32))
