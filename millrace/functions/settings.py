@@ -1,10 +1,14 @@
-"""Settings: nested values, overridden by environment variables ``PIPELINE_A__B=value``."""
+"""Settings: nested values, overridden by environment variables ``PIPELINE_A__B=value``; the folder that executors share."""
 
 from __future__ import annotations
 
 import copy
 import os
+import re
 from collections.abc import Mapping
+from tempfile import mkdtemp
+
+from pyspark.sql import SparkSession
 
 PREFIX = "PIPELINE_"
 #: Names the settings file itself, so it is no override.
@@ -51,3 +55,13 @@ def load(path: str, environment: Mapping[str, str] = os.environ) -> dict:
     except ImportError as error:
         raise RuntimeError("YAML settings need the yaml library; use JSON instead") from error
     return overridden(yaml.safe_load(text), environment)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where that is unset on one machine (tests), a temporary one."""
+    place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        place = f"file://{mkdtemp(prefix='millrace-')}"
+    return place.rstrip("/")

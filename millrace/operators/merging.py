@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import fixed
 from millrace.functions.keys import bucket
+from millrace.functions.settings import shared_dir
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -43,6 +44,20 @@ def assign_splits(rows: DataFrame, key: str, test: int = fixed.TEST_ROWS, valida
 
 
 def shard_numbers(rows: DataFrame, writer: str, order: list[str], size: int = fixed.ROWS_PER_SHARD) -> DataFrame:
-    """``rows`` with the number of the writer's shard they go to, in order."""
-    at = F.row_number().over(Window.partitionBy(writer).orderBy(*order))
-    return rows.withColumn("shard", F.floor((at - 1) / size).cast("long"))
+    """``rows`` with the number of the writer's shard they go to, in order.
+
+    Rows are dealt by ranges of writer and order, so a writer with a third of them is spread over tasks: each range numbers its
+    own rows, and starts from the rows of the writer's ranges before it. Ranges come from a sample, so they are
+    checkpointed before anything is counted.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(rows.sparkSession))
+    dealt = rows.repartitionByRange(writer, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    own = Window.partitionBy(writer, "_part")
+    earlier = Window.partitionBy("_writer").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy(F.col(writer).alias("_writer"), F.col("_part").alias("_of")).count()
+    starts = ranges.select("_writer", "_of", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+    numbered = dealt.withColumn("_at", F.row_number().over(own.orderBy(*order)) - 1)
+    joined = numbered.join(starts, (F.col("_part") == F.col("_of")) & F.col(writer).eqNullSafe(F.col("_writer")))
+    return joined.select(*[c for c in rows.columns if c != "shard"], F.floor((F.col("_before") + F.col("_at")) / size).cast("long").alias("shard"))

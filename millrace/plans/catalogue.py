@@ -7,12 +7,12 @@
 from __future__ import annotations
 
 import uuid
-from tempfile import mkdtemp
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed, keys
+from millrace.functions.settings import shared_dir
 from millrace.functions.text import WHITE, json_record_text, strip, strip_sql
 from millrace.operators import items, leasing, merging, rows
 from millrace.operators.chunking import chunks, chunks_sql
@@ -331,12 +331,7 @@ FROM (SELECT w.*, leased IS NOT NULL AND (last_at IS NULL OR leased > last_at) A
 
 def stream_manifest(spark, sf_dir):
     """Distinct contents, read as a stream that ends with what is there. Written below the shared folder."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = f"file://{mkdtemp(prefix='millrace-')}"
-    place = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     return ingest(spark, f"{sf_dir}/documents.parque[t]", _table(spark, sf_dir, "documents").schema, f"{place}/sink", f"{place}/state")
 
 

@@ -229,6 +229,16 @@ def test_queue_tells_owner_and_unknown_items(spark):
     assert [r["item"] for r in leasing.unknown_completions(log, items_).collect()] == [9]
 
 
+def test_shards_of_a_writer_in_many_ranges(spark):
+    rows = [(k, "hot" if k % 3 else None if k % 2 else "cold", k) for k in range(3000)]
+    table = spark.createDataFrame(rows, "id long, writer string, shard long").repartition(7)
+    got = {r["id"]: r["shard"] for r in merging.shard_numbers(table, "writer", ["id"], 10).collect()}
+    for writer in ("hot", "cold", None):
+        own = [k for k, w, _ in rows if w == writer]
+        assert [got[k] for k in own] == [n // 10 for n in range(len(own))]
+    assert merging.shard_numbers(table.limit(0), "writer", ["id"], 10).collect() == []
+
+
 def test_sinks(spark, tmp_path):
     ids = spark.createDataFrame([("a",), ("b",)], "item_id string")
     append_manifest(ids, f"{tmp_path}/m")
