@@ -45,10 +45,14 @@ RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "template",
 RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 DROPPED_TAGS = frozenset("nav header footer aside form script style noscript template iframe button select option optgroup textarea input svg object embed head title dialog menu fieldset legend canvas audio video map noframes".split())
 #: Names of class, id and role, or their last words, that mark what is not the article.
-DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense adslot adbox sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar sidebars aside menu menus nav navbar navigation navlinks breadcrumb breadcrumbs topbar toolbar masthead header footer copyright colophon comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations widget widgets pagination pager skip toc search form complementary contentinfo alert".split())
+DROPPED_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense adslot adbox adsbox adsbygoogle paywall sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar sidebars aside menu menus nav navbar navigation navlinks breadcrumb breadcrumbs topbar toolbar masthead header footer copyright colophon comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations widget widgets pagination pager skip toc search form complementary contentinfo alert".split())
 #: Words after a marking one that leave its sense, and words before it that turn it.
-PLAIN_ENDS = frozenset("list box bar wrap wrapper container area block section item items link links button buttons inner outer top bottom left right main text content body slot unit".split())
+PLAIN_ENDS = frozenset("list box bar wrap wrapper container area block section item items link links button buttons inner outer top bottom left right main text content body slot unit thread post posts stories articles dialog x".split())
+INNER = frozenset("main text content body".split())
 TURNING = frozenset("has with without no not is non by hide show".split())
+#: Names by which an article is a remark on another.
+REMARKS = frozenset("comment comments reply replies related recommended".split())
+ADVERT_KEY = re.compile(r"data-(?:ads?|google-query)(?:-|$)")
 MAIN_TAGS = ("article", "main")
 #: How far a class speaks: tags that never hold article text, names that may be wrong, and names of headers, which an article has too.
 HARD, SOFT, HEADING = 2, 1, 3
@@ -63,32 +67,59 @@ MOST_TRIED = 400
 FIXED_FROM = 3
 
 
+def _words(name: str) -> list[str]:
+    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+
+
 def _named(name: str) -> int:
-    """What one class, id or role says: 0 nothing, else SOFT or HEADING."""
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    """What one class, id or role says: 0 nothing, else SOFT or HEADING.
+
+    The word that counts is the last one before those that leave its sense, also if it is written as two. What is inside of
+    something may be what it stands beside (a sidebar's content), so there the first word must be the marking one.
+    """
+    words = _words(name)
     if not words or not TURNING.isdisjoint(words):
         return 0
-    mark = words[-1] if words[-1] in DROPPED_WORDS else words[0] if words[0] in DROPPED_WORDS and words[-1] in PLAIN_ENDS else ""
+    plain = [*words]
+    while plain and plain[-1] in PLAIN_ENDS and plain[-1] not in INNER:
+        plain.pop()
+    ends = [words[-1], *plain[-1:], "".join(words[-2:]), *(words[:1] if words[-1] in PLAIN_ENDS else [])]
+    mark = next((w for w in ends if w in DROPPED_WORDS), "")
     return 0 if not mark else HEADING if mark in ("header", "masthead") else SOFT
 
 
 def _label(tag: str, attributes: str) -> tuple[str, int]:
-    """(label, prior): the tag with its class, id and role words; what they say against the node."""
+    """(label, prior): the tag with its class, id and role words; what they say against the node.
+
+    A page's regions (body, article, main) and headings aren't judged by names, but an article may be a reader's comment.
+    """
     prior, words = HARD if tag in DROPPED_TAGS else 0, []
     if attributes.strip(" /\n\t"):
         found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
-        said = [_named(name) for key in ("class", "id", "role") for name in found.get(key, "").split()]
-        for key in ("class", "id", "role"):
-            words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get(key, "")).lower())
+        names = [name for key in ("class", "id", "role") for name in found.get(key, "").split()]
+        for name in names:
+            words += _words(name)
         if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
             prior = HARD
             words.append("hidden")
-        elif not prior and not re.fullmatch("h[1-6]|html|body|article|main", tag):
-            prior = SOFT if SOFT in said else HEADING if HEADING in said else 0
-            words += ["soft"] * (prior == SOFT) + ["heading"] * (prior == HEADING)
+        elif tag == "article":
+            prior = SOFT if any(_named(name) == SOFT and not REMARKS.isdisjoint(_words(name)) for name in names) or _remark(found) else prior
+        elif not prior and not re.fullmatch("h[1-6]|html|body|main", tag):
+            said = [*map(_named, names)]
+            prior = SOFT if SOFT in said or _remark(found) or _advert(found) else HEADING if HEADING in said else 0
+        words += ["soft"] * (prior == SOFT) + ["heading"] * (prior == HEADING)
     return ".".join([tag, *sorted(set(words))]), prior
 
 
+def _remark(found: dict[str, str]) -> bool:
+    """Whether attributes say that a node is a reader's comment."""
+    return found.get("itemtype", "").rstrip("/").endswith("/Comment") or found.get("itemprop", "").lower() == "comment"
+
+
+def _advert(found: dict[str, str]) -> bool:
+    return any(ADVERT_KEY.match(k) for k in found) or not {"advertisement", "sponsored"}.isdisjoint(_words(found.get("aria-label", "")))
+
+
 def parse(page: str | None) -> list:
     """The tree of a page: node = [label, prior, children]; a text is a str. Time and memory grow with the page's length.
 

@@ -450,6 +450,10 @@ def test_the_wrapper_decides(spark):
         ("<div class='site has-sidebar'><article><p>A</p></article></div>", "A"), ("<div class='layout with-sidebar'><main><p>A</p></main><div class='sidebar'>x</div></div>", "A"),
         ("<div id='content' class='side-by-side'><p>A</p></div>", "A"), ("<article><p class='post-header'>H</p><p class='promo-free'>F</p><div class='user-comments'><p>c</p></div></article>", "H\nF"),
         ("<p don't>He said it's fine</p>", "He said it's fine"), ('<p class="x>Hello</p>', "Hello"), ("<p title='a > b'>x</p>", "x"), ("<div class='AdBox'>x</div><p>y &lt;b&gt;</p>", "y <b>"), ("<!-- never closed <p>x</p>", ""),
+        ("<article><p>A long text</p><article class='comment odd'><p>c</p></article><div class='related-posts'>r</div><p>B</p></article>", "A long text\nB"),
+        ("<article class='comment'><p>A page that is one remark</p></article>", "A page that is one remark"),
+        ("<div class='two-column-sidebar-content'><p>A</p></div><div class='side-bar'>s</div><div class='sb-comment-thread'>c</div>", "A"),
+        ("<article><p>A</p><ins class='adsbygoogle'>x</ins><div data-ad-slot='1'>x</div><div aria-label='Advertisement'>x</div><div itemtype='http://schema.org/Comment'>c</div><div data-address='1'>B</div></article>", "A\nB"),
     ],
 )
 def test_odd_markup(page, text):
