@@ -237,7 +237,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         chance = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, quota / n) * DRAW))])
         picked = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(DRAW)) < chance[F.col("lang")]
         passed = cut(training.select("text", "lang", picked.alias("picked")).mapInArrow(_learn_pass, "lang string, features binary, counts binary, n long"), "language")
-        sampled = [tuple(r) for r in passed.filter("lang IS NOT NULL").select("lang", "features", "counts", "n").toLocalIterator()]
+        # copies of one row are drawn together: they come as one row with their number, of which no more than the language's part counts
+        alike = passed.filter("lang IS NOT NULL").groupBy("lang", "features", "counts", "n").agg(F.count("*").alias("copies"))
+        sampled = [(r["lang"], r["features"], r["counts"], r["n"]) for r in alike.toLocalIterator() for _ in range(min(r["copies"], quota))]
         sums = passed.filter("lang IS NULL").select("features", "n", F.pmod(F.xxhash64("features", "n"), F.lit(64)).alias("salt")).groupBy("salt").applyInArrow(_add, "features binary, n long")
         whole = sums.withColumn("salt", F.lit(0)).groupBy("salt").applyInArrow(_add, "features binary, n long").first()
         return train(sampled, np.frombuffer(whole["features"], np.int64), whole["n"])
@@ -249,7 +251,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     Learns from the text and non-null language of rows with ``crc32(doc_id) % 5 <> 0``; rows with a null id are
     held out too. Weights and temperature come from about ``sample_rows`` rows in all, equal parts for each language, picked
-    by a hash of id and text; document frequencies count every training row. A text that is null or has no letter is
+    by a hash of id and text, copies of a row together and then as one language's part at most; document frequencies count every training row. A text that is null or has no letter is
     ``und`` with score 0, as is every text if nothing can be learned. Repeated rows get equal predictions; of languages with
     equal scores the first by name is predicted. Other columns aren't read. A long text is read whole, in pieces that end
     between words, so memory is bounded but for a text without white space, which is one piece.
@@ -271,9 +273,13 @@ def keep_identified(docs: DataFrame, text_col: str = "text", least: float = 0.35
 
     Rejected are texts that are null or have no letter, and those that fit no language: with four languages a text
     that says nothing scores 0.25. Rows are judged one by one, so repeated ones share their fate and ties need no rule;
-    a null in any other column than the text plays no part, and an empty table gives an empty result.
+    a null in any other column than the text plays no part, and an empty table gives an empty result. If no row has a language
+    to learn from, no text is rejected but those without letters.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, text_col=text_col, **options))
+    model = fit(docs, text_col=text_col, **options)
+    if not model.languages:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     @released

@@ -90,6 +90,23 @@ def test_language_accuracy_and_rules(spark, odd):
     assert keep_identified(odd).columns == odd.columns
 
 
+def test_nothing_to_learn_rejects_no_text_with_letters(spark):
+    rows = [(1, "ab c", None), (2, "12 !", None), (3, None, None), (4, "é", None), (5, "", None)]
+    got = keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted(map(tuple, got)) == [(1, "ab c", None), (4, "é", None)]
+
+
+def test_a_third_of_rows_alike_leaves_the_sample_bounded(spark, monkeypatch):
+    rows = [(1, "the same row", "en")] * 400 + [(k, f"wort {k} und", "de") for k in range(2, 9)]
+    held = []
+    monkeypatch.setattr(language, "train", lambda sampled, *_: held.extend(sampled))
+    fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), sample_rows=800)
+    assert sum(r[0] == "en" for r in held) == 400
+    held.clear()
+    fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5), sample_rows=20)
+    assert len(held) <= 20
+
+
 def test_prediction_depends_on_the_text_alone(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = fit(docs)
