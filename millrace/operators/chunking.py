@@ -1,6 +1,6 @@
 """Paragraph packing: an ordered fold over the paragraphs of one text.
 
-Memory is bounded by one text. The fold is a built-in higher-order function, so it stays in the JVM.
+Memory is bounded by an Arrow batch of texts. The fold is over lengths, so each chunk is joined once.
 """
 
 from __future__ import annotations

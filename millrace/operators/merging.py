@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import fixed
@@ -10,7 +12,7 @@ from millrace.functions.keys import bucket
 from millrace.functions.settings import shared_dir
 
 
-def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def keep_first(rows: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
     """The first row of every key. An aggregate with partial sums rather than a window: a key with a third of all rows
     leaves each task as one row."""
     rest = [c for c in rows.columns if c not in key]
@@ -23,6 +25,13 @@ def unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     return rows.join(seen.select(key).distinct(), key, "left_anti")
 
 
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def split_sizes(n: int, test: int = fixed.TEST_ROWS, validation: int = fixed.VALIDATION_ROWS) -> tuple[int, int]:
     """(test rows, validation rows) of ``n``."""
     t = min(test, n // 10)
@@ -33,10 +42,11 @@ def assign_splits(rows: DataFrame, key: str, test: int = fixed.TEST_ROWS, valida
     """``rows`` with ``split``: the smallest hash buckets are test, the next validation, ties by key.
 
     Both are bounded by settings, so a top-n over all tasks finds them and they are small enough to broadcast; the table
-    itself is neither sorted nor moved.
+    itself is neither sorted nor moved. It is read three times (number, top-n, join), so it is written to the shared folder first
+    and what makes it runs once.
     """
-    bucketed = rows.withColumn("bucket", bucket(F.col(key)))
-    t, v = split_sizes(rows.count(), test, validation)
+    bucketed = _stored(rows.withColumn("bucket", bucket(F.col(key))), "splits")
+    t, v = split_sizes(bucketed.count(), test, validation)
     held = bucketed.select(key, "bucket").orderBy("bucket", key).limit(t + v)
     ranked = held.withColumn("_at", F.row_number().over(Window.orderBy("bucket", key))).select(F.col(key).alias("_key"), "_at")
     split = F.when(F.col("_at").isNull(), "train").when(F.col("_at") <= t, "test").otherwise("validation")

@@ -111,9 +111,19 @@ def scan_stats(spark, sf_dir):
     return docs.unionByName(pages).groupBy("kind").agg(F.count("*").alias("files_scanned"), F.countDistinct("d").alias("new_items"))
 
 
-def _paths(spark, sf_dir):
+def scan_counters(spark, sf_dir):
+    """A scan of documents as text files and of pages as files of all kinds, with a manifest of what the first source by name holds."""
+    docs = _table(spark, sf_dir, "documents").select("source", _digest().alias("d"), chunks(F.replace("text", F.lit("\n"), F.lit("\n\n"))).alias("cs"))
+    texts = docs.select("source", "d", F.posexplode_outer("cs").alias("chunk_index", "chunk")).select("source", F.lit("text").alias("modality"), F.when(F.col("chunk_index").isNotNull(), keys.text_item_id(F.col("d"), F.col("chunk_index"))).alias("item_id"), F.col("chunk_index").cast("long").alias("chunk_index"))
+    media = _paths(spark, sf_dir, F.sha2(F.coalesce("html", F.lit("")), 256).alias("d")).withColumn("modality", files.modality(F.col("path"))).filter(F.col("modality").isin("image", "audio"))
+    listed = media.select("modality", keys.media_item_id(F.col("modality"), F.col("d")).alias("item_id"), F.lit(None).cast("long").alias("chunk_index"))
+    first = _table(spark, sf_dir, "documents").agg(F.min("source").alias("source"))
+    return files.scan_counts(texts.drop("source").unionByName(listed), texts.join(F.broadcast(first), "source"))
+
+
+def _paths(spark, sf_dir, *more):
     suffixes = F.array(*map(F.lit, (".TXT", ".md", ".JPG", ".webp", ".Mp3", ".opus", ".exe", "")))
-    return _table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("/data/in/"), F.col("page_id").cast("string"), F.get(suffixes, (F.col("page_id") % 8).cast("int"))).alias("path"))
+    return _table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("/data/in/"), F.col("page_id").cast("string"), F.get(suffixes, (F.col("page_id") % 8).cast("int"))).alias("path"), *more)
 
 
 def ext_modality(spark, sf_dir):
@@ -339,7 +349,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         text_manifest, chunk_stress, chunk_stats, py_strip_lines, jsonl_text_coalesce, item_ids, manifest_keep_first, manifest_novelty,
-        scan_stats, ext_modality, path_containment, task_pick, task_mix_counts, text_prompt, image_prompt, transcript_concat, audio_prompt,
+        scan_stats, scan_counters, ext_modality, path_containment, task_pick, task_mix_counts, text_prompt, image_prompt, transcript_concat, audio_prompt,
         model_json_defaults, row_validation, row_reject_counts, pair_completeness, text_items, audio_items, merge_first_wins, split_assign, split_counts,
         shard_number, queue_replay, queue_status, lease_fifo, dead_letter, lease_reap, stream_manifest,
     )
@@ -376,7 +386,16 @@ SELECT doc_id, item_id, language, substr(sha256(item_id || '||' || language), 1,
     "scan_stats": f"SELECT 'text' AS kind, count(*) AS files_scanned, count(DISTINCT {_DIGEST}) AS new_items FROM documents UNION ALL SELECT 'page', count(*), count(DISTINCT sha256(coalesce(html, ''))) FROM pages",
     "ext_modality": """WITH p AS (SELECT page_id, 'in/' || page_id || (['.TXT', '.md', '.JPG', '.webp', '.Mp3', '.opus', '.exe', ''])[page_id % 8 + 1] AS path FROM pages), e AS (SELECT *, lower(regexp_extract(path, '[^/](\\.[^./]+)$', 1)) AS extension FROM p)
 SELECT *, CASE """.replace("\\\\", "\\") + " ".join(f"WHEN extension IN ({', '.join(repr(x) for x in v)}) THEN '{k}'" for k, v in fixed.EXTENSIONS.items()) + " END AS modality FROM e",
-    "path_containment": "SELECT page_id, page_id % 5 IN (0, 2, 3) AS contained FROM pages",
+    "scan_counters": f"""WITH RECURSIVE {chunks_sql(_DOUBLED, "doc_id", "text", WHITE).strip()},
+t AS (SELECT source, 'text' AS modality, chunk_index, CASE WHEN chunk_index IS NOT NULL THEN substr(sha256('text|' || {_DIGEST} || '|' || chunk_index), 1, 24) END AS item_id FROM documents LEFT JOIN chunked ON k = doc_id),
+p AS (SELECT (['text', 'text', 'image', 'image', 'audio', 'audio', '', ''])[page_id % 8 + 1] AS modality, sha256(coalesce(html, '')) AS d FROM pages),
+i AS (SELECT modality, chunk_index, item_id FROM t UNION ALL SELECT modality, NULL, substr(sha256(modality || '|' || d), 1, 24) FROM p WHERE modality IN ('image', 'audio')),
+s AS (SELECT DISTINCT item_id FROM t WHERE source = (SELECT min(source) FROM documents) AND item_id IS NOT NULL),
+n AS (SELECT i.*, s.item_id IS NOT NULL AS old, s.item_id IS NULL AND i.item_id IS NOT NULL AS new FROM i LEFT JOIN s ON i.item_id = s.item_id)
+SELECT count_if(new AND modality = 'text') AS text_chunks, count_if(new AND modality = 'image') AS images, count_if(new AND modality = 'audio') AS audio, count_if(old) AS skipped_existing, count_if(coalesce(chunk_index, 0) = 0) AS files_scanned, count_if(new) AS new_items FROM n""",
+    "path_containment": """WITH p AS (SELECT page_id, (['a/../b', '../x', 'a//./b', 'a/../../data/c', '/etc/passwd'])[page_id % 5 + 1] || '/' || page_id AS p FROM pages),
+n AS (SELECT page_id, list_reduce(list_prepend('', list_filter(string_split(CASE WHEN starts_with(p, '/') THEN p ELSE '/data/' || p END, '/'), lambda x: x NOT IN ('', '.'))), lambda done, x: CASE WHEN x = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || x END) AS p FROM p)
+SELECT page_id, p = '/data' OR starts_with(p, '/data/') AS contained FROM n""",
     "task_pick": f"WITH {_PICKED} SELECT doc_id, item_id, task_type, difficulty FROM picked",
     "task_mix_counts": f"WITH {_PICKED} SELECT task_type, difficulty, count(*) AS n FROM picked GROUP BY ALL",
     "text_prompt": f"WITH {_PICKED}, {_SPREAD}, f AS (SELECT doc_id, language, {_filled(fixed.TEXT_PROMPT, 'language', 'task_type', 'difficulty', '''coalesce(text, '')''')} AS p FROM spread) SELECT doc_id, language, length(p) AS n_chars, sha256(p) AS prompt_sha256 FROM f",

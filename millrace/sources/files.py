@@ -41,6 +41,11 @@ def contained(path: Column, root: str) -> Column:
     return (full == base) | F.startswith(full, F.lit(base + "/"))
 
 
+def path_order(path: Column) -> Column:
+    """What paths are sorted by: their parts, so ``a/x`` comes before ``a-b/x``."""
+    return F.split(path, "/")
+
+
 def scan(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """path, length, content, file_sha256 of all files of a modality below ``root``."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
@@ -69,3 +74,16 @@ def read_shards(spark: SparkSession, root: str, ddl: str = ROW_DDL) -> DataFrame
 def fetch_counts(batches: DataFrame) -> DataFrame:
     """Batches and rows that came, from rows with their ``batch_id``."""
     return batches.agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("rows"))
+
+
+def scan_counts(items: DataFrame, seen: DataFrame) -> DataFrame:
+    """One row of counters for a scan: text_chunks, images, audio, skipped_existing, files_scanned, new_items.
+
+    ``items``: modality, item_id, chunk_index; a text file without chunks is a row without either, a media file one without
+    ``chunk_index``. An item is skipped if ``seen`` has its id; one that a scan meets twice counts twice.
+    """
+    known = seen.select("item_id").distinct().withColumn("_old", F.lit(True))
+    old, new = F.col("_old").isNotNull(), F.col("item_id").isNotNull() & F.col("_old").isNull()
+    counts = [F.count_if(new & (F.col("modality") == kind)).alias(name) for kind, name in (("text", "text_chunks"), ("image", "images"), ("audio", "audio"))]
+    files = F.count_if(F.coalesce("chunk_index", F.lit(0)) == 0)
+    return items.join(known, "item_id", "left").agg(*counts, F.count_if(old).alias("skipped_existing"), files.alias("files_scanned"), F.count_if(new).alias("new_items"))

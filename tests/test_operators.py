@@ -104,6 +104,26 @@ def test_merge_order_is_by_parts_of_the_path(spark):
     assert merging.keep_first(df, ["id"], ["worker", "part", "line"]).first()["v"] == "first"
 
 
+def test_scans_keep_the_first_path_by_its_parts(spark, tmp_path):
+    from millrace.__main__ import scan
+
+    for name, text in (("a-b/x.txt", "same"), ("a/x.txt", "same"), ("a/y.TXT", "other"), ("b.md", "\n\n")):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    for _ in range(2):
+        scan(spark, f"{tmp_path}/in", f"{tmp_path}/manifest")
+        got = spark.read.parquet(f"{tmp_path}/manifest").collect()
+        assert sorted(r["path"].split("/in/")[1] for r in got) == ["a/x.txt", "a/y.TXT"]
+
+
+def test_scan_counts(spark):
+    items = spark.createDataFrame([("text", "a", 0), ("text", "b", 1), ("text", "c", 0), ("text", None, None), ("image", "i", None), ("image", "j", None), ("audio", "s", None), ("image", "j", None)], "modality string, item_id string, chunk_index long")
+    seen = spark.createDataFrame([("b",), ("b",), ("s",), ("z",), (None,)], "item_id string")
+    got = files.scan_counts(items, seen).collect()
+    assert [r.asDict() for r in got] == [{"text_chunks": 2, "images": 3, "audio": 0, "skipped_existing": 2, "files_scanned": 7, "new_items": 5}]
+    assert files.scan_counts(items.limit(0), seen).first()["files_scanned"] == 0
+
+
 def test_queue(spark):
     log = [("late", 0, 0, "done"), ("late", 1, 1, "failed"), ("dead", 0, 2, "failed"), ("dead", 1, 3, "oops"), ("dead", 2, 4, "failed"), ("dead", 3, 5, "failed"), ("due", 0, 6, "lease"), ("over", -1, 7, "lease"), ("twice", 0, 8, "done"), ("twice", 1, 9, "done")]
     df = spark.createDataFrame(log, "item string, s int, seq int, message string").withColumn("ts", F.timestamp_seconds("s"))
