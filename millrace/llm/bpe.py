@@ -15,7 +15,7 @@ import json
 import pickle
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 from itertools import chain
 
@@ -118,6 +118,11 @@ class SuffixAutomaton:
         return to
 
 
+def _bytes(word: str, ids: Sequence[int]) -> int:
+    """What a known word takes, about."""
+    return 250 + len(word) + 8 * len(ids)
+
+
 class WordBpe:
     """Encoder and decoder for a vocabulary with word-end suffix whose ids follow the merge order."""
 
@@ -161,6 +166,7 @@ class WordBpe:
         self.definition = definition
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         self.held = 0
         self._right.clear()
         self._left.clear()
@@ -264,7 +270,7 @@ class WordBpe:
                 n -= length[i]
             out.reverse()
             new[word] = tuple(out)
-            self.held += 250 + len(word) + 8 * len(out)
+            self.held += _bytes(word, out)
             before = letters
             del last[len(letters) + 1 :], states[len(letters) + 1 :]
 
@@ -288,10 +294,14 @@ class WordBpe:
                 split.append([[p] if p in self.special else self._words(p) for p in self.cut.split(text)])
             else:
                 split.append([self._words(text)])
-        if self.held >= CACHE_BYTES:
-            self.new, self.held = {}, 0
-        new = self.new
-        self._fill(set(chain.from_iterable(chain.from_iterable(split))).difference(new))
+        if self.held >= CACHE_BYTES // 2:  # words that come again move on from the older half, the others go with it
+            self.old, self.new, self.held = self.new, {}, 0
+        new, older = self.new, self.old
+        wanted = set(chain.from_iterable(chain.from_iterable(split))).difference(new)
+        for word in wanted & older.keys():
+            new[word] = older[word]
+            self.held += _bytes(word, new[word])
+        self._fill(wanted - older.keys())
         out = []
         for pieces in split:
             if len(pieces) == 1:

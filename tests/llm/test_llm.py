@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language, lines, mixing
+from millrace.llm import bpe, chat, language, lines, mixing
 from millrace.llm.bpe import WordBpe, encode_documents
 from millrace.llm.components import components, forest
 from millrace.llm.fingerprints import compare_versions
@@ -531,6 +531,17 @@ def test_ids_equal_the_library(library):
         assert k % 20 or model.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_words_that_leave_the_cache_are_encoded_again(library, monkeypatch):
+    draw = random.Random(9)
+    known = ["".join(draw.choice("aeiou éñß") + draw.choice("bcdst") for _ in range(draw.randint(1, 4))) for _ in range(300)]
+    texts = [" ".join(draw.choice(known[: draw.choice((20, 300))]) for _ in range(60)) for _ in range(40)]
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 30_000)
+    model = bpe.WordBpe(open(word_bpe_file(), encoding="utf-8").read())
+    for t in texts:
+        assert model.encode(t) == library.encode(t, add_special_tokens=False).ids
+    assert model.old and len(model.new) + len(model.old) < 300
+
+
 def test_documents_equal_the_library(spark, odd, library):
     got = encode_documents(odd, word_bpe_file()).collect()
     want = [library.encode(r[1] or "", add_special_tokens=False).ids for r in odd_rows()]
