@@ -144,7 +144,6 @@ class WordBpe:
             i = ids[left + right]
             self.parts[i] = ids[left], ids[right]
             self.merged[ids[left] << 20 | ids[right]] = i
-        self.fits: dict[int, bool] = {}
         self._right: dict[int, list] = {}
         self._left: dict[int, list] = {}
         self.sound = self._sound(sorted(set(ids.values())))
@@ -156,6 +155,10 @@ class WordBpe:
                 self.length[i] = len(key)
                 keys[key] = i
         self.matches = SuffixAutomaton(keys)
+        #: For every token, which others can stand after it as far as that is known; and how many pairs are.
+        self.fits: list[dict[int, bool]] = [{} for _ in range(self.size)]
+        self.known = 0
+        self.first = dict.fromkeys(self.sound, True)
         letters = byte_letters()
         self.letter = {chr(b): letters[b] for b in range(256)}
         self.table = {b: letters[b] for b in range(256) if letters[b] != chr(b)}
@@ -220,14 +223,18 @@ class WordBpe:
         return good
 
     def compatible(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        if (known := self.fits.get(key)) is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-                self._right.clear()
-                self._left.clear()
-            known = self.fits[key] = self._apart(a, b)
-        return known
+        """Whether b can stand after a; kept in the row of a. Nothing can stand after a prefix without encoding."""
+        if a < 0:
+            return False
+        if self.known >= PAIRS:
+            for row in self.fits:
+                row.clear()
+            self.known = 0
+            self._right.clear()
+            self._left.clear()
+        self.known += 1
+        fits = self.fits[a][b] = self._apart(a, b)
+        return fits
 
     def _fill(self, words: set[str]) -> None:
         """Put the encodings of ``words`` into the cache.
@@ -236,32 +243,29 @@ class WordBpe:
         """
         table = self.table
         ordered = sorted((w if w.isascii() and w.isprintable() else w.encode("utf-8").decode("latin-1").translate(table), w) for w in words)
-        compatible, known, step, ending, miss = self.compatible, self.fits.get, self.matches.next, self.matches.ending, self.matches.step
+        compatible, fits, step, ending, miss = self.compatible, self.fits, self.matches.next, self.matches.ending, self.matches.step
         length, new = self.length, self.new
-        last, states, before = [-1], [0], ""
+        # for every prefix its last token, what can stand after that, and the automaton's state; anything can stand at the start
+        last, after, states, before = [-1], [self.first], [0], ""
         for letters, word in ordered:
             kept = 0
             for x, y in zip(letters, before):
                 if x != y:
                     break
                 kept += 1
-            del last[kept + 1 :], states[kept + 1 :]
+            del last[kept + 1 :], after[kept + 1 :], states[kept + 1 :]
             state = states[kept]
-            for at, letter in enumerate(letters[kept:] + END, kept + 1):
+            for letter in letters[kept:] + END:
                 to = step[state].get(letter)
                 state = miss(state, letter) if to is None else to
                 found = -1
                 for i, size in ending[state]:
-                    if size == at:
+                    fit = after[-size].get(i)
+                    if fit or (fit is None and compatible(last[-size], i)):
                         found = i
                         break
-                    if (prior := last[at - size]) >= 0:
-                        if (fits := known(prior << 20 | i)) is None:
-                            fits = compatible(prior, i)
-                        if fits:
-                            found = i
-                            break
                 last.append(found)
+                after.append(fits[found] if found >= 0 else {})
                 states.append(state)
             out, n = [], len(letters) + 1
             while n:
@@ -272,7 +276,9 @@ class WordBpe:
             new[word] = tuple(out)
             self.held += _bytes(word, out)
             before = letters
-            del last[len(letters) + 1 :], states[len(letters) + 1 :]
+            last.pop()
+            after.pop()
+            states.pop()
 
     def _words(self, text: str) -> list[str]:
         """Words of a text between special tokens."""
