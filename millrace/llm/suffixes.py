@@ -8,9 +8,10 @@ strings have equal anchors. A run of neighbouring strings with one anchor is a s
    the task of the anchor, where rows arrive sorted by anchor, stretch and id. All others are covered whole, for
    which hashes of 64 bits suffice.
 2. Owners whose anchor has different stretches in different documents go on, with their bytes. The suffixes that start
-   in them are sorted by anchor: multikey quicksort (three-way, over words of eight bytes) to a depth of 24, then blind tries
-   order the groups whose prefixes are still equal. Suffixes that agree in 50 bytes are neighbours then, and the
-   smallest id of each such run decides.
+   in them are sorted by anchor and lead, the way to the anchor, which equal strings share; one that is alone there has
+   no equal. Multikey quicksort (three-way, over words of eight bytes) sorts to a depth of 24, then blind tries
+   order the groups whose prefixes are still equal; pairs are compared at once. Suffixes that agree in 50 bytes are
+   neighbours then, and the smallest id of each such run decides.
 3. Covered strings come back to their documents as intervals, which are merged and cut out.
 
 An anchor with more than ``MOST_STRETCHES`` different stretches isn't sorted in one task: its strings go their own ways by
@@ -24,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,23 +38,27 @@ REACH = LENGTH - GRAM + 1
 SHALLOW = 24
 SEGMENT = 1 << 19
 PLACE = 24
+LEAD = 8
+COUNT = (1 << LEAD) - 1
 FIRST = -(2**63)
 ONCE_BYTES, FLUSH_ROWS, FLUSH_BYTES = 8 << 20, 200_000, 4 << 20
 MOST_STRETCHES = 20_000
+#: Where the words begin that cover a string below the shallow depth.
+REST = (*range(SHALLOW, LENGTH - 8, 8), LENGTH - 8)
 
 
 def stretches(raw: Iterable[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
     """Stretches of the texts, slice by slice.
 
-    (text number, first string's start within the text, number of strings, anchor hash, stretch hash, bytes of the
-    slice). A text longer than ``SEGMENT`` is cut into segments that overlap by 49 bytes.
+    (text number, first string's start within the text, number of strings and its lead, packed, anchor hash, stretch hash,
+    bytes of the slice). The lead is the way from the first string's start to the anchor. A text longer than ``SEGMENT`` is cut into segments that overlap by 49 bytes; slices are small enough for a cache.
     """
     held: list = []
     size = 0
     for k, r in enumerate(raw):
         for at in range(0, max(len(r) - LENGTH + 1, 0), SEGMENT):
             piece = r[at : at + SEGMENT + LENGTH - 1]
-            if held and size + len(piece) > SEGMENT * 2:
+            if held and size + len(piece) > SEGMENT // 8:
                 yield _sliced(held)
                 held, size = [], 0
             held.append((k, at, piece))
@@ -65,34 +71,38 @@ def _sliced(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     joined = b"".join(p[2] for p in pieces) + bytes(8)
     data = np.frombuffer(joined, np.uint8)
     n = len(data) - 8
-    eight = np.lib.stride_tricks.as_strided(data, (n, 8), (1, 1)).copy().view("<u8").ravel()
-    grams = mix(eight[: n - GRAM + 1] * U(0x9E3779B97F4A7C15) + eight[8 : n - GRAM + 9] * U(0xC2B2AE3D27D4EB4F))
+    eight = np.ndarray((n,), "<u8", joined, strides=(1,)).astype(U)
+    grams = eight[: n - GRAM + 1] * U(0x9E3779B97F4A7C15)
+    grams += eight[8 : n - GRAM + 9] * U(0xC2B2AE3D27D4EB4F)
+    grams = mix(grams)
     low = U((1 << PLACE) - 1)
-    best = (grams & ~low) | np.arange(len(grams), dtype=U)
+    best = grams & ~low
+    best |= np.arange(len(grams), dtype=U)
     reach = 1
     while reach * 2 <= REACH:
         best = np.minimum(best[:-reach], best[reach:])
         reach *= 2
     if REACH > reach:
         best = np.minimum(best[: -(REACH - reach)], best[REACH - reach :])
-    anchor = (best & low).astype(np.int64)
-    sizes = np.asarray([len(p[2]) for p in pieces])
-    begins = np.concatenate(([0], np.cumsum(sizes)))
-    piece_of = np.repeat(np.arange(len(pieces)), sizes)
-    own = piece_of[: len(anchor)] == piece_of[LENGTH - 1 : LENGTH - 1 + len(anchor)]
+    best &= low
+    anchor = best.view(np.int64)
+    begins = np.cumsum([0, *(len(p[2]) for p in pieces)])
+    own = np.ones(len(anchor), bool)
+    for end in begins[1:-1].tolist():
+        own[max(end - LENGTH + 1, 0) : end] = False
     new = np.ones(len(anchor), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (own[1:] & ~own[:-1])
     first = np.flatnonzero(new & own)
     ends = np.flatnonzero(own & np.append((new | ~own)[1:], True)) + 1
     up, down = powers(n + 1)
     total = np.zeros(n + 1, U)
-    np.cumsum(_BYTE_FULL[data[:n]] * up[:n], out=total[1:])
+    np.cumsum(_BYTE_FULL.take(data[:n]) * up[:n], out=total[1:])
     body = mix((total[ends + LENGTH - 1] - total[first]) * down[first] + U(1))
     lead = (anchor[first] - first).astype(U)
-    which = piece_of[first]
+    which = np.searchsorted(begins, first, side="right") - 1
     base = np.asarray([p[1] for p in pieces]) - begins[:-1]
     number = np.asarray([p[0] for p in pieces])
-    return number[which], first + base[which], ends - first, grams[anchor[first]].view(np.int64), mix(body + lead * U(0x9E3779B97F4A7C15)).view(np.int64), n
+    return number[which], first + base[which], (ends - first) | (anchor[first] - first) << LEAD, grams[anchor[first]].view(np.int64), mix(body + lead * U(0x9E3779B97F4A7C15)).view(np.int64), n
 
 
 #: Unlike words, bytes here keep their case.
@@ -118,10 +128,12 @@ def _sizes(start: np.ndarray, n: int) -> np.ndarray:
 
 def _owners(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Whether a row has the smallest id of its key."""
-    order = np.lexsort((ids, key))
+    if not len(key):
+        return np.empty(0, bool)
+    order = np.argsort(key)
     start = _starts(key[order])
     least = np.empty(len(key), np.int64)
-    least[order] = np.repeat(ids[order][start], _sizes(start, len(key)))
+    least[order] = np.repeat(np.minimum.reduceat(ids[order], start), _sizes(start, len(key)))
     return ids == least
 
 
@@ -143,7 +155,7 @@ def _joined(ids: np.ndarray, place: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
 
 @released
 def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(route, key, id, place, n): a stretch with its anchor as route, or, key null, strings known to be covered."""
+    """(route, key, id, place, n): a stretch with its anchor as route and its lead in n, or, key null, strings known to be covered."""
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
@@ -151,7 +163,7 @@ def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, key, ids, place, n = (np.concatenate([x[k] for x in held]) for k in range(5))
         held.clear()
         mine = _owners(key, ids)
-        gone = _joined(ids[~mine], place[~mine], n[~mine])
+        gone = _joined(ids[~mine], place[~mine], n[~mine] & COUNT)
         none = np.arange(mine.sum() + len(gone[0])) >= mine.sum()
         columns = [np.concatenate(pair) for pair in ((h[mine], mix(gone[0].view(U)).view(np.int64)), (key[mine], gone[0]), (ids[mine], gone[0]), (place[mine], gone[1]), (n[mine], gone[2]))]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64(), mask=none if k == 1 else None) for k, c in enumerate(columns)], names=["route", "key", "id", "place", "n"])
@@ -183,7 +195,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = FLUSH_ROWS) -> Iter
 
 @released
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of requests sorted by (route, key, id): (id, place, n, h, hot). h null: covered; else to be sorted with others of h.
+    """Of requests sorted by (route, key, id): (id, place, n, h, hot). h null: covered; else, n with its lead, to be sorted with others of h.
 
     Of the last anchor of a batch only owners are held, and beyond ``MOST_STRETCHES`` only those of its last stretch.
     """
@@ -209,7 +221,7 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         was_hot, known_hot = known_hot, False
         start = _starts(h, key)
         mine = ids == np.repeat(ids[start], _sizes(start, len(h)))
-        parts.append(covered(ids[~mine], place[~mine], n[~mine]))
+        parts.append(covered(ids[~mine], place[~mine], n[~mine] & COUNT))
         h, key, ids, place, n = (x[mine] for x in (h, key, ids, place, n))
         start = _starts(h)
         if len(start):
@@ -244,35 +256,43 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Strings of which a smaller id of the same batch has an equal one are covered: their body is null.
     """
     names = ["g", "id", "place", "n", "body"]
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=names)
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     for b in batches:
-        rows: list[tuple] = []
-        hot: list[tuple] = []
-        size = 0
-        for i, text, asked in zip(b.column(0).to_pylist(), _raw(b.column(2)), b.column(3), strict=True):
-            for x in asked.values.to_pylist() if not len(asked) else asked.as_py():
-                at = x["place"] >> 32
-                if x["hot"]:
-                    for s in range(at, at + x["n"]):
-                        body = text[s : s + LENGTH]
-                        hot.append((xxhash.xxh3_64_intdigest(body) - (1 << 63), i, x["place"] + ((s - at) << 32), 1, body))
-                else:
-                    rows.append((x["h"], i, x["place"], x["n"], text[at : at + x["n"] + LENGTH - 1]))
-                size += x["n"] + LENGTH
-            if len(rows) + len(hot) > FLUSH_ROWS // 4 or size > FLUSH_BYTES:
-                if rows or hot:
-                    yield out(rows + _once(hot))
-                rows, hot, size = [], [], 0
-        if rows or hot:
-            yield out(rows + _once(hot))
+        asked = b.column(3)
+        place, n, h, hot = (x.to_numpy(zero_copy_only=False) for x in asked.flatten().flatten())
+        sizes = asked.value_lengths().to_numpy()
+        owner = np.repeat(b.column(0).to_numpy(), sizes)
+        at, count = place >> 32, n & COUNT
+        begins, ends = at.tolist(), (at + count + LENGTH - 1).tolist()
+        rows = np.cumsum(np.where(hot, count, 1))
+        size = np.cumsum(np.where(hot, count * LENGTH, count + LENGTH))
+
+        def out(lo: int, bodies: list[bytes]) -> pa.RecordBatch:
+            cold = ~hot[lo : lo + len(bodies)]
+            columns: list = [x[lo : lo + len(bodies)][cold] for x in (h, owner, place, n)]
+            more = []
+            for k in (np.flatnonzero(~cold) + lo).tolist():
+                strings = (bodies[k - lo][s : s + LENGTH] for s in range(count[k]))
+                more += [(xxhash.xxh3_64_intdigest(x) - (1 << 63), int(owner[k]), int(place[k]) + (s << 32), 1, x) for s, x in enumerate(strings)]
+            columns.append([x for x, c in zip(bodies, cold.tolist(), strict=True) if c])
+            if more:
+                columns = [[*c, *x] for c, x in zip(columns, zip(*_once(more), strict=True), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+        lo = done = 0
+        bodies: list[bytes] = []
+        for text, end in zip(_raw(b.column(2)), np.cumsum(sizes).tolist(), strict=True):
+            bodies += [text[x:y] for x, y in zip(begins[done:end], ends[done:end], strict=True)]
+            done = end
+            if bodies and (rows[end - 1] - (rows[lo - 1] if lo else 0) > FLUSH_ROWS // 4 or size[end - 1] - (size[lo - 1] if lo else 0) > FLUSH_BYTES):
+                yield out(lo, bodies)
+                lo, bodies = end, []
+        if bodies:
+            yield out(lo, bodies)
 
 
 def _once(hot: list[tuple]) -> list[tuple]:
-    if not hot:
-        return []
     mine = _owners(np.asarray([x[0] for x in hot]), np.asarray([x[1] for x in hot]))
     return [x if own else (x[1], *x[1:4], None) for x, own in zip(hot, mine.tolist(), strict=True)]
 
@@ -299,7 +319,7 @@ class BlindTrie:
         if node[1] == text:
             node[2].append(item)
             return
-        depth = next(k for k, (x, y) in enumerate(zip(text, node[1], strict=True)) if x != y)
+        depth = len(text) - ((int.from_bytes(text) ^ int.from_bytes(node[1])).bit_length() + 7) // 8
         other = node[1][depth]
         above, node = None, self.root
         while node[0] is not None and node[0] < depth:
@@ -328,17 +348,22 @@ class BlindTrie:
 def multikey(words: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Three-way quicksort over words, all parts of one round at once.
 
-    Each part is split by the median of three of its words at the part's depth; the middle goes on one word deeper. Returns
-    (order, whether each row equals the one before it in group and all words).
+    Each part is split by the median of three of its words at the part's depth; the middle goes on one word deeper. Parts of
+    two rows are compared at once. Returns (order, whether each row equals the one before it in group and all words).
     """
     table = np.stack(words)
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group)
     same = np.zeros(len(order), bool)
     start = _starts(group[order])
     size = _sizes(start, len(order))
     start, size = start[size > 1], size[size > 1]
     depth = np.zeros(len(start), np.int64)
-    while len(start):
+    while True:
+        two = size == 2
+        same[start[two] + 1] = _paired(words, order, start[two])
+        start, size, depth = start[~two], size[~two], depth[~two]
+        if not len(start):
+            return order, same
         base = np.cumsum(size) - size
         part = np.repeat(np.arange(len(start)), size)
         at = np.arange(len(part)) + (start - base)[part]
@@ -362,11 +387,22 @@ def multikey(words: list[np.ndarray], group: np.ndarray) -> tuple[np.ndarray, np
         spot = np.repeat(begin[over] + 1 - np.cumsum(n[over] - 1) + (n[over] - 1), n[over] - 1) + np.arange((n[over] - 1).sum())
         same[spot] = True
         start, size, depth = begin[~over], n[~over], deeper[~over]
-    return order, same
 
 
-def _words(data: np.ndarray, starts: np.ndarray, at: int) -> np.ndarray:
-    return data[(starts + at)[:, None] + np.arange(8)].view(">u8").ravel().astype(U)
+def _paired(words: list[np.ndarray], order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Put the rows of ``order`` at each place and the one after it in the order of their words. Returns whether they are equal."""
+    a, b = order[at], order[at + 1]
+    more, equal = np.zeros(len(at), bool), np.ones(len(at), bool)
+    for w in words:
+        x, y = w[a], w[b]
+        more |= equal & (x > y)
+        equal &= x == y
+    order[at[more]], order[at[more] + 1] = b[more], a[more]
+    return equal
+
+
+def _words(buffer: bytes, starts: np.ndarray, at: int) -> np.ndarray:
+    return np.ndarray((max(len(buffer) - 7, 0),), ">u8", buffer, strides=(1,))[starts + at].astype(U)
 
 
 def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, who: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -375,8 +411,7 @@ def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, who: np.n
     Returns (order, whether each is equal to the one before it in 50 bytes and group). With ``who``, suffixes that share
     the shallow prefix with none of another owner stay unsorted below it, and count as different.
     """
-    data = np.frombuffer(buffer + bytes(8), np.uint8)
-    order, same = multikey([_words(data, starts, at) for at in range(0, SHALLOW, 8)], group)
+    order, same = multikey([_words(buffer, starts, at) for at in range(0, SHALLOW, 8)], group)
     equal = np.zeros(len(order), bool)
     runs = np.flatnonzero(~same)
     ends = np.append(runs[1:], len(order))
@@ -385,11 +420,19 @@ def deep_shallow(buffer: bytes, starts: np.ndarray, group: np.ndarray, who: np.n
         own = who[order]
         deep &= np.minimum.reduceat(own, runs) < np.maximum.reduceat(own, runs)
     if deep.any():
+        # a trie of two strings is one comparison
+        two = runs[deep & (ends - runs == 2)]
+        pair = np.concatenate((two, two + 1))
+        rests = [np.zeros(len(order), U) for _ in REST]
+        for w, at in zip(rests, REST, strict=True):
+            w[order[pair]] = _words(buffer, starts[order[pair]], at)
+        equal[two + 1] = _paired(rests, order, two)
+        deep &= ends - runs > 2
         # a group whose rests are all equal is a trie of one leaf
         inside = np.repeat(deep, ends - runs)
         spot = np.flatnonzero(inside & same)
         unlike = np.zeros(len(order), np.int64)
-        unlike[spot] = np.any([_words(data, starts[order[spot]], at) != _words(data, starts[order[spot - 1]], at) for at in (*range(SHALLOW, LENGTH - 8, 8), LENGTH - 8)], axis=0)
+        unlike[spot] = np.any([_words(buffer, starts[order[spot]], at) != _words(buffer, starts[order[spot - 1]], at) for at in REST], axis=0)
         plain = deep & (np.add.reduceat(unlike, runs) == 0)
         equal |= np.repeat(plain, ends - runs) & same
         deep &= ~plain
@@ -413,81 +456,96 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Ids rise within a group, so what is smaller has come before: rows are decided as they come, and of a group that goes
     on only different bodies are held.
     """
-    rows: list[tuple] = []  # g, id, place, body, whether decided
+    parts: list[tuple] = []  # arrays of g, id, place, lead, length, whether decided; bodies in a row
     size = 0
 
     def flush(ends: bool) -> tuple[np.ndarray, ...]:
-        nonlocal rows, size
-        g, ids, place = (np.asarray([r[k] for r in rows], np.int64) for k in range(3))
-        bodies, old = [r[3] for r in rows], np.asarray([r[4] for r in rows], bool)
-        n = np.asarray([len(t) - LENGTH + 1 for t in bodies], np.int64)
+        nonlocal parts, size
+        g, ids, place, lead, long, old = (np.concatenate([p[k] for p in parts]) for k in range(6))
+        buffer, begin = b"".join([p[6] for p in parts]), np.cumsum(long) - long
         start = _starts(g)
-        active = np.flatnonzero(np.repeat(np.minimum.reduceat(ids, start) < np.maximum.reduceat(ids, start), _sizes(start, len(g))))
+        sizes = _sizes(start, len(g))
+        active = np.flatnonzero(np.repeat(np.minimum.reduceat(ids, start) < np.maximum.reduceat(ids, start), sizes))
         found = (np.empty(0, np.int64),) * 3
         if len(active):
-            buffer, count = b"".join([bodies[k] for k in active.tolist()]), n[active]
-            of = np.repeat(np.arange(len(active)), count)
+            count = long[active] - LENGTH + 1
+            of = np.repeat(active, count)
             step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-            own = ids[active][of]
-            begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
-            order, equal = deep_shallow(buffer, begin[of] + step, g[active][of], own)
-            run = np.flatnonzero(~equal)
-            least = np.empty(len(of), np.int64)
-            least[order] = np.repeat(np.minimum.reduceat(own[order], run), _sizes(run, len(order)))
-            hit = (least < own) & ~old[active][of]
-            o, s = of[hit], step[hit]
-            if len(o):
-                first = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))))
-                p = active[o[first]]
-                found = ids[p], place[p] + (s[first] << 32), _sizes(first, len(o))
-        held: dict[bytes, tuple] = {}
+            # equal strings have their anchor at the same place; a string that is alone there has no equal
+            group = np.repeat(np.arange(len(start)), sizes)[of] * REACH + lead[of] - step
+            shared = np.bincount(group)[group] > 1
+            of, step, group = of[shared], step[shared], group[shared]
+            if len(of):
+                own = ids[of]
+                order, equal = deep_shallow(buffer, begin[of] + step, group, own)
+                run = np.flatnonzero(~equal)
+                least = np.empty(len(of), np.int64)
+                least[order] = np.repeat(np.minimum.reduceat(own[order], run), _sizes(run, len(order)))
+                hit = (least < own) & ~old[of]
+                o, s = of[hit], step[hit]
+                if len(o):
+                    first = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))))
+                    p = o[first]
+                    found = ids[p], place[p] + (s[first] << 32), _sizes(first, len(o))
+        parts, size = [], 0
         if not ends:
-            for r in rows[int(start[-1]) :]:
-                held.setdefault(r[3], (*r[:4], True))
-        rows = list(held.values())
-        size = 0
+            held: dict[tuple, int] = {}
+            for k in range(int(start[-1]), len(g)):
+                held.setdefault((int(lead[k]), buffer[begin[k] : begin[k] + long[k]]), k)
+            rest = np.asarray([*held.values()])
+            parts.append((*(x[rest] for x in (g, ids, place, lead, long)), np.ones(len(rest), bool), b"".join([x for _, x in held])))
         return found
 
     def out(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _joined(*found)], names=["id", "place", "n"])
 
     for b in batches:
-        for r in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
-            if r[4] is None:
-                yield out(tuple(np.asarray([x], np.int64) for x in r[1:4]))
-                continue
-            rows.append((r[0], r[1], r[2], r[4], False))
-            size += len(r[4])
-            if size > FLUSH_BYTES:
-                yield out(flush(False))
-    if rows:
+        known = b.column(4).is_null().to_numpy(zero_copy_only=False)
+        g, ids, place, n = (b.column(k).to_numpy() for k in range(4))
+        if known.any():
+            yield out((ids[known], place[known], n[known] & COUNT))
+            g, ids, place, n = (x[~known] for x in (g, ids, place, n))
+        if len(g):
+            bodies = b.column(4).drop_null().cast(pa.large_binary())
+            parts.append((g, ids, place, n >> LEAD, pc.binary_length(bodies).to_numpy(), np.zeros(len(g), bool), b"".join(bodies.to_pylist())))
+            size += len(parts[-1][6])
+        if size > FLUSH_BYTES:
+            yield out(flush(False))
+    if parts:
         yield out(flush(True))
 
 
-def _union(pairs: np.ndarray) -> np.ndarray:
-    """Merged intervals; those that touch are one."""
-    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(pairs[:, 1])
-    new = np.concatenate(([True], pairs[1:, 0] > ends[:-1]))
-    return np.stack((pairs[new, 0], np.append(ends[np.flatnonzero(new)[1:] - 1], ends[-1])), axis=1)
+def _union(text: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Merged intervals of each text, by text and start; those that touch are one."""
+    if not len(text):
+        return text, lo, hi
+    begin, end = text * (1 << 33) + lo, text * (1 << 33) + hi
+    order = np.argsort(begin)
+    begin, end = begin[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate(([True], begin[1:] > end[:-1])))
+    text = begin[first] >> 33
+    return text, begin[first] - text * (1 << 33), end[np.append(first[1:], len(end)) - 1] - text * (1 << 33)
 
 
 @released
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:
-        sizes, spans, left = [], [], []
-        for text, gone in zip(_raw(b.column(1)), b.column(2).to_pylist(), strict=True):
-            pairs = _union(np.asarray([(x["place"] >> 32, (x["place"] >> 32) + x["n"] + LENGTH - 1) for x in gone], np.int64)).tolist() if gone else []
+        gone = b.column(2)
+        place, n = (x.to_numpy() for x in gone.flatten().flatten())
+        text, lo, hi = _union(np.repeat(np.arange(len(gone)), gone.value_lengths().fill_null(0).to_numpy()), place >> 32, (place >> 32) + n + LENGTH - 1)
+        upto = np.searchsorted(text, np.arange(len(gone) + 1))
+        los, his, bounds = lo.tolist(), hi.tolist(), upto.tolist()
+        sizes, left = [], []
+        for k, raw in enumerate(_raw(b.column(1))):
             kept, at = [], 0
-            for lo, hi in pairs:
-                kept.append(text[at:lo])
-                at = hi
-            kept.append(text[at:])
-            sizes.append(len(text))
-            spans.append([{"start": lo, "end": hi} for lo, hi in pairs])
+            for j in range(bounds[k], bounds[k + 1]):
+                kept.append(raw[at : los[j]])
+                at = his[j]
+            kept.append(raw[at:])
+            sizes.append(len(raw))
             left.append(b"".join(kept))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(left, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+        spans = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], names=["start", "end"]))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), spans, pa.array(left, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

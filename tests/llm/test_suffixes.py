@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -71,6 +72,41 @@ def test_stages_by_brute_force(monkeypatch, segment, rows, size, once, most):
             assert gone == {q for p in range(len(r) - 49) if seen[r[p : p + 50]] < i for q in range(p, p + 50)}
 
 
+def test_only_strings_that_can_be_equal_are_sorted(monkeypatch):
+    draw = random.Random(12)
+    some = lambda n: "".join(chr(97 + draw.randrange(26)) for _ in range(n))
+    shared = [some(70) for _ in range(40)]
+    docs = [(i, "".join(f"{some(60)}{x}" for x in shared)) for i in range(2)]
+    sorted_at, made = [], []
+    deep_shallow, trie = suffixes.deep_shallow, suffixes.BlindTrie
+    monkeypatch.setattr(suffixes, "deep_shallow", lambda buffer, starts, group, who: (sorted_at.append(np.unique(group, return_counts=True)[1]), deep_shallow(buffer, starts, group, who))[1])
+    monkeypatch.setattr(suffixes, "BlindTrie", lambda: (made.append(1), trie())[1])
+    found, _ = staged(docs, 2)
+    first, second = (t.encode() for _, t in docs)
+    known = {first[p : p + 50] for p in range(len(first) - 49)}
+    assert found == [set(), {q for p in range(len(second) - 49) if second[p : p + 50] in known for q in range(p, p + 50)}]
+    assert sorted_at and all((c == 2).all() for c in sorted_at) and not made
+
+
+def test_pairs_in_order_by_brute_force():
+    draw = random.Random(13)
+    head = bytes(range(50))
+    texts, group = [], []
+    for g in range(300):
+        x, y = bytearray(head), bytearray(head)
+        for t in (x, y):
+            if draw.random() < 0.7:
+                t[draw.randrange(50)] = draw.randrange(256)
+        texts += [bytes(x), bytes(y)]
+        group += [g, g]
+    starts = np.arange(600) * 50
+    for who in (None, np.arange(600)):
+        order, equal = suffixes.deep_shallow(b"".join(texts), starts, np.asarray(group), who)
+        keys = [(group[k], texts[k]) for k in order]
+        assert sorted(order.tolist()) == list(range(600)) and keys == sorted(keys)
+        assert equal.tolist() == [False, *(x == y for x, y in zip(keys, keys[1:], strict=False))]
+
+
 SHARED = "thirty letters that are here. "
 
 
